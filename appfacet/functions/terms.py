@@ -10,6 +10,7 @@ the captured one, so none is missed. Literals without a space are tested directl
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -61,8 +62,14 @@ def _longest_match(node: dict, group: int | None = None) -> str:
 
 
 def _string_array(values: Iterable[str]) -> Column:
-    items = [F.lit(v) for v in values]
-    return F.array(*items) if items else F.array().cast("array<string>")
+    """A literal array of strings, built in one step whatever its length."""
+    return F.from_json(F.lit(json.dumps(list(values))), F.lit("array<string>"))
+
+
+def literal_map(entries: Mapping[str, Iterable[str]]) -> Column:
+    """A literal map from strings to arrays of strings, likewise."""
+    text = json.dumps({k: list(v) for k, v in entries.items()})
+    return F.from_json(F.lit(text), F.lit("map<string, array<string>>"))
 
 
 class TermIndex:
@@ -101,9 +108,7 @@ class TermIndex:
             seen = F.array_distinct(
                 F.regexp_extract_all(prepared, F.lit(self.tail_pattern), F.lit(1))
             )
-            lookup = F.create_map(
-                *[c for k, v in self.candidates.items() for c in (F.lit(k), _string_array(v))]
-            )
+            lookup = literal_map(self.candidates)
             likely = F.array_distinct(F.flatten(F.transform(seen, lambda t: F.try_element_at(lookup, t))))
             parts.append(F.filter(likely, lambda t: F.contains(prepared, t)))
         if 0 < len(self.solid) <= DIRECT_TESTS:
@@ -120,9 +125,7 @@ class TermIndex:
         """Distinct labels of an array of found literals."""
         if not self.labels:
             return _string_array([])
-        lookup = F.create_map(
-            *[c for k, v in self.labels.items() for c in (F.lit(k), _string_array(v))]
-        )
+        lookup = literal_map(self.labels)
         return F.array_distinct(F.flatten(F.transform(found, lambda t: F.try_element_at(lookup, t))))
 
     def tag(self, text: Column | str) -> Column:

@@ -8,7 +8,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.flags import as_flag
-from ..functions.terms import TermIndex, with_labels
+from ..functions.terms import TermIndex, literal_map, with_labels
 from ..functions.text import as_column, strip
 from ..sources.rules import CategoryRules, default_rules
 from .columns import column_or, find_column
@@ -28,13 +28,8 @@ def genre_categories(value: Column | str, rules: CategoryRules | None = None) ->
     none = F.array().cast("array<string>")
     if not rules.genres:
         return none
-    pairs = [
-        c
-        for genre, cats in rules.genres.items()
-        for c in (F.lit(genre), F.array(*[F.lit(x) for x in cats]))
-    ]
     code = F.coalesce(genre_code(value), F.lit(""))
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), code), none)
+    return F.coalesce(F.try_element_at(literal_map(rules.genres), code), none)
 
 
 def keyword_categories(value: Column | str, index: TermIndex) -> Column:

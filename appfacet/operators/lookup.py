@@ -7,15 +7,17 @@ import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import days_since, parse_release_date
+from ..functions.numbers import safe_double
 from ..functions.text import is_empty, strip
 from ..schema import KEY, REQUIRED_COLUMNS
 from .columns import add_missing, add_required, as_text, column_or
 from .spread import HOT_ROWS, spread_join
-from .validity import needs_lookup
+from .validity import count_false, needs_lookup
 
 REAL_INSTALLS = "real_installs"
 SUPPLEMENT_COLUMNS = (*REQUIRED_COLUMNS, REAL_INSTALLS)
 _LOOKUP = "__lookup_key"
+VALID = "__is_valid"
 
 
 def map_supplement(
@@ -87,26 +89,70 @@ def hydrate(
     once: right for a supplement below the broadcast threshold, and always used for
     streams. Keys above ``hot_rows`` rows are split over several tasks.
     """
+    return hydrate_and_mark(
+        listings, supplement, order_by=order_by, one_pass=one_pass, hot_rows=hot_rows
+    ).drop(VALID)
+
+
+def hydrate_and_mark(
+    listings: DataFrame,
+    supplement: DataFrame | None,
+    *,
+    order_by: list[str] | None = None,
+    one_pass: bool | None = None,
+    hot_rows: int | None = HOT_ROWS,
+    tested: tuple[str, ...] = REQUIRED_COLUMNS,
+) -> DataFrame:
+    """``hydrate`` plus a column telling whether the row is valid once installs are resolved.
+
+    The mark is made from the inputs of the filling rather than from its results, which
+    keeps the filters on it small. ``tested`` leaves out columns known to be filled.
+    """
     listings = add_required(listings)
     if supplement is None:
-        return listings
+        return listings.withColumn(VALID, _valid(listings, tested, {}))
     listings = add_missing(listings, [REAL_INSTALLS], None)
+    names = listings.columns
     rows = one_per_key(supplement, order_by)
-    needs = needs_lookup()
+    needs = needs_lookup(tested)
     if one_pass or (one_pass is None and listings.isStreaming):
         keyed = listings.withColumn(_LOOKUP, F.when(needs, strip(KEY)))
-        return _fill(spread_join(keyed, rows, _LOOKUP, "left", hot_rows), listings.columns)
+        return _fill(spread_join(keyed, rows, _LOOKUP, "left", hot_rows), names, tested)
     keyed = listings.where(needs).withColumn(_LOOKUP, strip(KEY))
-    filled = _fill(spread_join(keyed, rows, _LOOKUP, "left", hot_rows), listings.columns)
-    return listings.where(~needs).unionByName(filled)
+    filled = _fill(spread_join(keyed, rows, _LOOKUP, "left", hot_rows), names, tested)
+    # A row that needs no lookup is complete, unless it has no key.
+    complete = listings.where(~needs).withColumn(VALID, ~is_empty(KEY))
+    return complete.unionByName(filled)
+
+
+def _valid(df: DataFrame, tested: tuple[str, ...], found: dict[str, Column]) -> Column:
+    """No tested field is empty, counting what was found and the exact install count."""
 
+    def present(name: str) -> Column:
+        ok = ~is_empty(name)
+        if name in found:
+            ok |= ~is_empty(found[name])
+        if name == "installs" and REAL_INSTALLS in df.columns:
+            ok |= F.coalesce(safe_double(REAL_INSTALLS) > 0, F.lit(False))
+            if REAL_INSTALLS in found:
+                from_found = is_empty(REAL_INSTALLS) & (safe_double(found[REAL_INSTALLS]) > 0)
+                ok |= F.coalesce(from_found, F.lit(False))
+        return ok
+
+    return count_false(present(c) for c in tested) == 0
+
+
+def _fill(joined: DataFrame, names: list[str], tested: tuple[str, ...]) -> DataFrame:
+    found = {c: F.col(f"__{c}") for c in SUPPLEMENT_COLUMNS}
 
-def _fill(joined: DataFrame, names: list[str]) -> DataFrame:
     def filled(name: str) -> Column:
-        found = F.col(f"__{name}")
-        return F.when(is_empty(name) & ~is_empty(found), found).otherwise(F.col(name)).alias(name)
+        use = is_empty(name) & ~is_empty(found[name])
+        return F.when(use, found[name]).otherwise(F.col(name)).alias(name)
 
-    return joined.select(*[filled(c) if c in SUPPLEMENT_COLUMNS else F.col(c) for c in names])
+    return joined.select(
+        *[filled(c) if c in found and c != KEY else F.col(c) for c in names],
+        _valid(joined, tested, found).alias(VALID),
+    )
 
 
 def hydration_counts(listings: DataFrame, supplement: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
-from operator import and_, or_
+from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,8 +12,17 @@ from ..functions.text import is_empty
 from ..schema import KEY, REQUIRED_COLUMNS
 
 
+def count_false(conditions: Iterable[Column]) -> Column:
+    """How many of some never-NULL conditions fail.
+
+    One comparison of a count keeps a filter on many columns a single predicate, which
+    the optimizer handles faster than a chain of them.
+    """
+    return reduce(add, [(~c).cast("int") for c in conditions], F.lit(0))
+
+
 def any_empty(columns: Iterable[str]) -> Column:
-    return reduce(or_, [is_empty(c) for c in columns], F.lit(False))
+    return count_false(~is_empty(c) for c in columns) > 0
 
 
 def valid_row(df: DataFrame, required: Iterable[str] = REQUIRED_COLUMNS) -> Column:
@@ -21,7 +30,7 @@ def valid_row(df: DataFrame, required: Iterable[str] = REQUIRED_COLUMNS) -> Colu
     required = list(required)
     if not set(required) <= set(df.columns):
         return F.lit(False)
-    return reduce(and_, [~is_empty(c) for c in required], F.lit(True))
+    return ~any_empty(required)
 
 
 def split_valid(

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.text import is_empty
 from ..operators.impute import impute_listing_metrics, imputation_counts
+from ..operators.lookup import VALID
 from ..operators.reports import total_of
-from ..operators.validity import valid_row
 from ..schema import REQUIRED_COLUMNS
-from ..sources.rules import CategoryRules, default_rules
+from ..sources.rules import CategoryRules
 from ..sources.tables import read_csv, read_for_imputation, read_table, writer
-from .enrich import EnrichResult, check_listings, enrich_keys, result_of_checked
+from .enrich import EnrichResult, check_listings, enrich_keys, result_of_marked
 
 
 @dataclass(frozen=True)
@@ -39,23 +39,15 @@ def shared_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
-def staged(checked: DataFrame, folder: str, format: str = "parquet") -> DataFrame:
+def staged(marked: DataFrame, folder: str, format: str = "parquet") -> DataFrame:
     """Write checked rows once, split by validity, and go on from the written table.
 
     The two outputs then read one partition each instead of repeating the lookup join,
     and a lost executor costs no more than the tasks it ran.
     """
     path = f"{folder}/listings-{uuid.uuid4().hex}"
-    marked = checked.withColumn("__is_valid", valid_row(checked))
-    marked.write.partitionBy("__is_valid").format(format).save(path)
-    return checked.sparkSession.read.schema(marked.schema).format(format).load(path)
-
-
-def result_of_staged(table: DataFrame, rules: CategoryRules, months_policy: str | None):
-    valid = table.where("__is_valid").drop("__is_valid")
-    invalid = table.where("not __is_valid").drop("__is_valid")
-    whole = result_of_checked(valid, rules, months_policy)
-    return EnrichResult(table.drop("__is_valid"), whole.valid, invalid, rules)
+    marked.write.partitionBy(VALID).format(format).save(path)
+    return marked.sparkSession.read.schema(marked.schema).format(format).load(path)
 
 
 def write_result(
@@ -106,14 +98,9 @@ def run_enrichment(
     With a supplement the joined rows are staged in ``staging``, or else in the shared
     folder of the cluster; without either they are computed once per output.
     """
-    rules = rules or default_rules()
-    listings = _read(spark, input_path, input_format)
-    checked = check_listings(listings, supplement, **lookup_options)
+    marked = check_listings(_read(spark, input_path, input_format), supplement, **lookup_options)
     folder = staging or (shared_folder(spark) if supplement is not None else None)
-    if folder:
-        result = result_of_staged(staged(checked, folder), rules, months_policy)
-    else:
-        result = result_of_checked(checked, rules, months_policy)
+    result = result_of_marked(staged(marked, folder) if folder else marked, rules, months_policy)
     return write_result(result, output, invalid_output, format=output_format, mode=mode)
 
 
