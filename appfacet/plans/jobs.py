@@ -13,7 +13,13 @@ from ..operators.lookup import VALID
 from ..operators.reports import total_of
 from ..schema import REQUIRED_COLUMNS
 from ..sources.rules import CategoryRules
-from ..sources.tables import read_csv, read_for_imputation, read_table, writer
+from ..sources.tables import (
+    read_csv,
+    read_for_imputation,
+    read_table,
+    with_parallelism,
+    writer,
+)
 from .enrich import EnrichResult, check_listings, enrich_keys, result_of_marked
 
 
@@ -75,7 +81,8 @@ def write_result(
 
 
 def _read(spark: SparkSession, path: str, format: str) -> DataFrame:
-    return read_csv(spark, path) if format == "csv" else read_table(spark, path, format)
+    rows = read_csv(spark, path) if format == "csv" else read_table(spark, path, format)
+    return with_parallelism(rows)
 
 
 def run_enrichment(

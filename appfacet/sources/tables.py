@@ -72,6 +72,16 @@ def read_table(spark: SparkSession, path: str, format: str = "parquet") -> DataF
     return as_text(spark.read.format(format).load(path))
 
 
+def with_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:
+    """Redistribute a table whose files give fewer input splits than there are cores.
+
+    The term search is bound by computation, so a few large splits would leave cores
+    idle. A table with enough splits, as any large one, is returned as it is.
+    """
+    wanted = minimum or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+
+
 def read_for_imputation(spark: SparkSession, path: str, **options) -> DataFrame:
     """Delimited rows for the imputer: names in lower case, no renaming of the key."""
     return lower_names(read_csv(spark, path, **options))

@@ -40,6 +40,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(2 * int(cpus)))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

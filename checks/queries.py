@@ -56,6 +56,7 @@ from .records import (
     listing_source,
     quoted,
     spark_pick,
+    spread_table,
     table,
     terms,
 )
@@ -316,7 +317,7 @@ def description_tags(spark, sf):
 def document_tags(spark, sf):
     """Every whole document, each with one phrase of the vocabulary worked in."""
     phrases = terms("description")
-    docs = table(spark, sf, "documents").select(
+    docs = spread_table(spark, sf, "documents").select(
         "doc_id",
         F.expr(f"text || ' ' || {spark_pick(phrases, f'doc_id % {len(phrases)}')}").alias("text"),
     )
@@ -354,7 +355,7 @@ def _frequent_index():
 
 @query(_frequent_sql("documents", "doc_id"))
 def custom_terms_in_documents(spark, sf):
-    tagged = with_labels(table(spark, sf, "documents"), {"found": ("text", _frequent_index())})
+    tagged = with_labels(spread_table(spark, sf, "documents"), {"found": ("text", _frequent_index())})
     return tagged.select("doc_id", joined_labels(F.col("found")).alias("labels"))
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from appfacet import default_rules
+from appfacet.sources.tables import with_parallelism
 
 AS_OF = "2003-01-01"
 
@@ -171,13 +172,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table over all cores also where its file is a single input split."""
+    return with_parallelism(table(spark, sf_dir, name))
+
+
 def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*[F.expr(sql).alias(name) for name, sql in columns.items()])
 
 
 def all_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every raw column, with ``months`` and ``released`` beside the listing columns."""
-    orders, documents = table(spark, sf_dir, "orders"), table(spark, sf_dir, "documents")
+    orders, documents = spread_table(spark, sf_dir, "orders"), table(spark, sf_dir, "documents")
     joined = orders.join(documents, F.col("doc_id") == F.col("o_orderkey"), "left")
     return _select(_select(joined, base_columns(SPARK)), record_columns(SPARK))
 
@@ -192,7 +198,7 @@ def app_records_with_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(table(spark, sf_dir, "lineitem"), source_columns(SPARK))
+    return _select(spread_table(spark, sf_dir, "lineitem"), source_columns(SPARK))
 
 
 def key_table(spark: SparkSession, sf_dir: str) -> DataFrame:
