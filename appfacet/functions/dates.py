@@ -23,7 +23,7 @@ def parse_release_date(value: Column | str) -> Column:
 
     Runs of white space between the parts are accepted, at the ends they are not.
     """
-    text = F.regexp_replace(as_column(value).cast("string"), r"(?U)(?<=\S)\s+(?=\S)", " ")
+    text = F.regexp_replace(as_column(value).cast("string"), r"(?U)\s+", " ")
     return F.coalesce(
         *[
             F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(fmt)).cast("date"))
@@ -42,7 +42,8 @@ def as_of_date(as_of: datetime.date | str | Column | None) -> Column:
 def days_since(day: Column, as_of: datetime.date | str | Column | None = None) -> Column:
     """Whole days from ``day`` to ``as_of``, at least 0; NULL for a NULL day."""
     age = F.date_diff(as_of_date(as_of), day)
-    return F.when(age < 0, F.lit(0)).otherwise(age)
+    # GREATEST skips NULL, so the zero is made from the age itself.
+    return F.greatest(age, age * F.lit(0))
 
 
 def months_from_days(days: Column) -> Column:

@@ -394,7 +394,7 @@ def _breakdown_sql():
 
 @query(
     "SELECT category, p1, p2a, p2b, CAST(multi AS BIGINT) AS multi, CAST(none AS BIGINT) AS none FROM ("
-    f"WITH phased AS (SELECT * FROM {o.phased('app_records')}) {_breakdown_sql()})"
+    f"WITH phased AS MATERIALIZED (SELECT * FROM {o.phased('app_records')}) {_breakdown_sql()})"
 )
 def phase_breakdown(spark, sf):
     return reports.phase_breakdown(app_records(spark, sf))
@@ -627,11 +627,13 @@ def enrich_wanted_keys(spark, sf):
 
 
 @query(
-    " UNION ALL ".join(
+    "SELECT * FROM (WITH flags AS MATERIALIZED (SELECT * FROM enriched) "
+    + " UNION ALL ".join(
         f"SELECT '{c}' AS feature, CAST(coalesce(sum({c}), 0) AS BIGINT) AS n, "
-        f"{o.percent(f'coalesce(sum({c}), 0)', 'count(*)')} AS pct FROM enriched"
+        f"{o.percent(f'coalesce(sum({c}), 0)', 'count(*)')} AS pct FROM flags"
         for c in o.final_flags("NULL")
     )
+    + ")"
 )
 def coverage_report(spark, sf):
     return enrich_listings(app_records(spark, sf)).coverage_report()
