@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,15 @@ _ARROW = {
 }
 
 
+def importable(df: DataFrame) -> None:
+    """Let Python workers on this machine import the package from where the driver has it;
+    elsewhere it is installed, or passed with --py-files."""
+    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def map_batches(df: DataFrame, kernel: Callable[[Iterator[dict]], Iterator[dict]], columns: dict[str, str]) -> DataFrame:
     """Run `kernel` over each partition; it gets and gives batches as {column: sequence}."""
+    importable(df)
     schema = pa.schema([(name, _ARROW[kind]) for name, kind in columns.items()])
 
     def run(batches):
@@ -36,6 +44,7 @@ def map_batches(df: DataFrame, kernel: Callable[[Iterator[dict]], Iterator[dict]
 
 def map_arrays(df: DataFrame, kernel: Callable[[Iterator[dict]], Iterator[dict]], columns: dict[str, str]) -> DataFrame:
     """As `map_batches`, with inputs as numpy arrays; for columns without nulls."""
+    importable(df)
     schema = pa.schema([(name, _ARROW[kind]) for name, kind in columns.items()])
 
     def run(batches):

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from appfacet.llm.common import cut
+from appfacet.llm.common import cut, importable
 
 BLOCK = 4096
 QUERY_BLOCK = 4096
@@ -85,6 +85,7 @@ def _pairs(queries: pd.DataFrame, rows: pd.DataFrame, rotation: np.ndarray, k: i
 
 def top_inner_products(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = 256) -> DataFrame:
     """(query_id, rank, vec_id, score): per row with an id divisible by `every` its k best others."""
+    importable(vectors)
     rows = cut(integer_vectors(vectors, vec_id, embedding, scale))
     turned = rotations(rows)
     # blocks by descending length: the range partition is the block's head, then pieces of it

@@ -10,13 +10,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appfacet.llm import chat_trees, credential_links, histogram_packing, line_quality, norm_topk, token_prefix, toxic_segments, weight_tree
+from appfacet.llm import chat_trees, credential_links, histogram_packing, line_quality, ngram_join, norm_topk, token_prefix, toxic_segments, weight_tree
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 PROBE = "\\### Assistant: </turn> ok"
 
 
@@ -162,6 +166,7 @@ SELECT doc_id, domain, lang, source, n_tokens, CAST(unnest(range(CAST(times AS B
 """
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_chat_trees": op2_chat_trees,
     "op3_line_quality": op3_line_quality,
     "op4_norm_topk": op4_norm_topk,

@@ -1,9 +1,9 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
-Words of labelled texts are counted by class, and a word's log-odds under an informative
-Dirichlet prior, divided by its deviation, say how surely it belongs to toxic texts. Words
-above a limit score their log-odds, all others a small negative drift, so a toxic passage
-is a segment with a high sum. A linear scan finds every maximal segment. Segment sums are
+Labelled texts with a word are counted by class (equal texts of a task once), and the
+word's log-odds under an informative Dirichlet prior, less two deviations, say how surely
+it belongs to toxic texts. Words above a limit score that, all others a small negative
+drift, so a toxic passage is a segment with a high sum. A linear scan finds every maximal segment. Segment sums are
 normalised by extreme-value theory: with lambda the root of E[exp(lambda * score)] = 1
 over the clean words, lambda * sum - ln(n) follows a Gumbel law in clean texts of n words,
 so segments above `significant` are reported and add up. A logistic curve, fitted on a
@@ -24,16 +24,17 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from appfacet.llm.common import cut, map_batches
+from appfacet.llm.common import cut, hash64, map_batches
 
 FOLDS, HELD_OUT = 5, 0
 #: bound of the labelled rows that are broadcast for training, chosen by a digest of the id
 MOST_LABELS = 200_000
 #: bound of the words with a score
 MOST_WORDS = 20_000
-PRIOR = 500.0
-LEAST_Z = 3.5
-LEAST_TOXIC = 5
+#: prior counts of every word, and of all words together by their share
+BASE_PRIOR, SHARED_PRIOR = 0.5, 50.0
+#: deviations taken off the log-odds, and the least that must be left
+DEVIATIONS, LEAST_SCORE, LEAST_TOXIC = 2.0, 1.5, 3
 DRIFT = -0.1
 STEP = 0.25
 _PUNCTUATION = str.maketrans({c: " " for c in string.punctuation})
@@ -43,15 +44,6 @@ def words_of(text: str | None) -> list[str]:
     return text.lower().translate(_PUNCTUATION).split() if text else []
 
 
-def log_odds(toxic: np.ndarray, clean: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-odds with an informative Dirichlet prior, and their z-values, for counts by word."""
-    both = toxic + clean
-    prior = PRIOR * both / both.sum()
-    odds = lambda y: np.log((y + prior) / (y.sum() + PRIOR - y - prior))
-    delta = odds(toxic) - odds(clean)
-    return delta, delta / np.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
-
-
 def segments(scores: list[tuple[int, float]], n: int, drift: float = DRIFT) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (start, end, sum) of n words, of which those in `scores`
     (position, score > 0) score so and all others `drift`: one pass, with a stack of
@@ -115,10 +107,13 @@ def training_labels(labels: DataFrame) -> DataFrame:
 
 def _count(batches):
     counts: Counter[str] = Counter()
+    seen: set[int] = set()
     for b in batches:
         for text, toxic in zip(b["text"], b["toxic"], strict=True):
             mark = "1" if toxic else "0"
-            counts.update(mark + w for w in words_of(text))
+            if (key := hash64((mark + (text or "")).encode())) not in seen:
+                seen.add(key)
+                counts.update(mark + w for w in set(words_of(text)))
         if len(counts) > 500_000:
             yield {"word": [*counts], "n": [*counts.values()]}
             counts.clear()
@@ -138,13 +133,15 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]
     n_toxic, n_clean = counts.agg(F.sum("toxic"), F.sum("clean")).first()
     if not n_toxic or not n_clean:
         return None
-    # the log-odds as above, with columns; only the words that score come to the driver
-    prior = F.lit(PRIOR / (n_toxic + n_clean)) * (F.col("toxic") + F.col("clean"))
-    odds = lambda y, n: F.log((y + prior) / (F.lit(n + PRIOR) - y - prior))
-    delta = odds(F.col("toxic"), float(n_toxic)) - odds(F.col("clean"), float(n_clean))
-    z = delta / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
-    strong = counts.withColumn("score", delta).withColumn("z", z).filter((F.col("z") > LEAST_Z) & (F.col("toxic") >= LEAST_TOXIC) & (F.col("score") > 1))
-    rows = strong.orderBy(F.desc("z"), "w").limit(MOST_WORDS).select("w", "score", "clean").collect()
+    words = counts.count()
+    prior = F.lit(BASE_PRIOR) + F.lit(SHARED_PRIOR / (n_toxic + n_clean)) * (F.col("toxic") + F.col("clean"))
+    whole = BASE_PRIOR * words + SHARED_PRIOR
+    odds = lambda y, n: F.log((y + prior) / (F.lit(n + whole) - y - prior))
+    delta = odds(F.col("toxic"), n_toxic) - odds(F.col("clean"), n_clean)
+    deviation = F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
+    strong = counts.withColumn("score", delta - F.lit(DEVIATIONS) * deviation).filter((F.col("toxic") >= LEAST_TOXIC) & (F.col("score") > LEAST_SCORE))
+    # only the words that score come to the driver, and at most so many
+    rows = strong.orderBy(F.desc("score"), "w").limit(MOST_WORDS).select("w", "score", "clean").collect()
     if not rows:
         return None
     scores = {row["w"]: float(row["score"]) for row in rows}
