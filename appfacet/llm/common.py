@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _ARROW = {
     "long": pa.int64(),
@@ -55,17 +57,42 @@ def map_arrays(df: DataFrame, kernel: Callable[[Iterator[dict]], Iterator[dict]]
     return df.mapInArrow(run, ", ".join(f"{name} {kind}" for name, kind in columns.items()))
 
 
-def ensure_shared_folder(spark: SparkSession) -> None:
-    """Take the cluster's checkpoint folder; only a local master may get one of its own."""
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until no column of `df` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def rewrite_text(df: DataFrame, change: Callable, helpers: list[str]) -> DataFrame:
+    """`df` without `helpers`, its text changed to change(text, *helpers), n_chars following."""
+    importable(df)
+    schema = StructType([f for f in df.schema if f.name not in helpers])
+
+    def run(batches):
+        for batch in batches:
+            columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("text", *helpers)]
+            texts = pa.array([change(*row) for row in zip(*columns, strict=True)], pa.string())
+            arrays = [texts if f.name == "text" else batch.column(i) for i, f in enumerate(batch.schema) if f.name not in helpers]
+            yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema])
+
+    out = df.mapInArrow(run, schema)
+    return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in out.columns else out
+
+
+def ensure_shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; only a local master may get one of its own."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
-        return
+        return context.getCheckpointDir()
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="llm-checkpoints-")
     context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:

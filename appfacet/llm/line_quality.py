@@ -14,22 +14,27 @@ host is a host of its own; repeated rows each get a row; an empty table gives no
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from appfacet.llm.common import cut, hash64, map_batches, words_of
+from appfacet.llm.common import cut, free_name, hash64, map_batches, rewrite_text, words_of
 
 WHITE = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 _DIGITS = str.maketrans("0123456789", "0000000000")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-_STATS = {"doc_id": "long", "host": "string", **dict.fromkeys(COUNTS, "long"), "line_hash": "array<long>", "line_words": "array<int>"}
+_STATS = {"row_key": "long", "doc_id": "long", "host": "string", **dict.fromkeys(COUNTS, "long"), "line_hash": "array<long>", "line_words": "array<int>"}
 SALTS = 8
 
 
+def normal_words(line: str) -> list[bytes]:
+    """Words of a line in lower case, with digits as 0."""
+    return line.lower().translate(_DIGITS).encode().split()
+
+
 def line_key(line: str) -> int | None:
     """Signed hash of the normalised line; None without words."""
-    words = line.lower().translate(_DIGITS).encode().split()
+    words = normal_words(line)
     return int(np.uint64(hash64(b" ".join(words))).astype(np.int64)) if words else None
 
 
@@ -68,19 +73,24 @@ def text_counts(text: str | None) -> tuple[int, int, int, int, int]:
 
 def _stats(batches):
     for b in batches:
-        out = {name: [] for name in _STATS} | {"doc_id": b["doc_id"], "host": b["host"]}
+        out = {name: [] for name in _STATS} | {name: b[name] for name in ("row_key", "doc_id", "host")}
         for text in b["text"]:
             for name, value in zip(COUNTS, text_counts(text), strict=True):
                 out[name].append(value)
             lines: dict[int, int] = {}
             for line in (text or "").split("\n"):
                 if (key := line_key(line)) is not None:
-                    lines[key] = lines.get(key, 0) + len(line.encode().split())
+                    lines[key] = lines.get(key, 0) + len(words_of(line))
             out["line_hash"].append(list(lines))
             out["line_words"].append(list(lines.values()))
         yield out
 
 
+def row_key(host: str) -> Column:
+    """Rows with one key are alike: the same id, host and text."""
+    return F.xxhash64("doc_id", F.col(host), "text")
+
+
 def frequent_lines(stats: DataFrame, min_documents: int, share: float) -> DataFrame:
     """(host, line): lines above the limits, `stats` as made below."""
     lines = stats.select("host", F.array_min("line_hash").alias("family"), F.explode("line_hash").alias("line"))
@@ -94,7 +104,8 @@ def frequent_lines(stats: DataFrame, min_documents: int, share: float) -> DataFr
 def line_quality(docs: DataFrame, host: str = "source", min_documents: int = 30, share: float = 0.01, min_left: float = 0.3) -> DataFrame:
     """Per row of `docs`: doc_id, the counts, base_failed, kept, left_words, and removed_lines
     (hashes of frequent lines in the text, null without any)."""
-    stats = cut(map_batches(docs.select("doc_id", F.col(host).cast("string").alias("host"), "text"), _stats, _STATS).withColumn("row", F.monotonically_increasing_id()))
+    read = docs.select(row_key(host).alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"), "text")
+    stats = cut(map_batches(read, _stats, _STATS).withColumn("row", F.monotonically_increasing_id()))
     frequent = frequent_lines(stats, min_documents, share).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     lines = stats.select("row", F.col("host").alias("of_host"), F.explode(F.arrays_zip("line_hash", "line_words")).alias("at"))
     lines = lines.select("row", "of_host", F.col("at.line_hash").alias("hash"), F.col("at.line_words").alias("words"), (F.col("row") % SALTS).cast("int").alias("part"))
@@ -112,16 +123,21 @@ def line_quality(docs: DataFrame, host: str = "source", min_documents: int = 30,
             (~base_failed & (left >= F.lit(min_left) * F.col("n_words"))).alias("kept"),
             left.alias("left_words"),
             "removed_lines",
+            "row_key",
         )
     )
 
 
-def _strip(batches):
-    for b in batches:
-        texts = []
-        for text, gone in zip(b["text"], b["removed_lines"], strict=True):
-            if gone:
-                gone = set(gone)
-                text = "\n".join(line for line in text.split("\n") if line_key(line) not in gone)
-            texts.append(text)
-        yield {"row_key": b["row_key"], "text": texts}
+def without_lines(text: str | None, gone: list[int] | None) -> str | None:
+    if not gone:
+        return text
+    gone = set(gone)
+    return "\n".join(line for line in text.split("\n") if line_key(line) not in gone)
+
+
+def accepted(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
+    """The rows of `docs` that are kept, with frequent lines taken out of their texts."""
+    verdicts = line_quality(docs, host, **limits).filter("kept").groupBy("row_key").agg(F.first("removed_lines").alias("lines"))
+    key, lines = free_name(docs, "row_key"), free_name(docs, "removed_lines")
+    verdicts = verdicts.select(F.col("row_key").alias(key), F.col("lines").alias(lines))
+    return rewrite_text(docs.withColumn(key, row_key(host)).join(verdicts, key).drop(key), without_lines, [lines])

@@ -26,10 +26,10 @@ unless all ids there are null; an empty table gives no rows.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from appfacet.llm.common import cut, hash64, hash_words, map_arrays, map_batches, mix
+from appfacet.llm.common import cut, free_name, hash64, hash_words, map_arrays, map_batches, mix
 from appfacet.llm.graph import components, id_filter, passes
 
 SHINGLE = 5
@@ -90,7 +90,7 @@ def fold(bits: np.ndarray, width: int) -> np.ndarray:
     return bits
 
 
-_SCAN = {"kind": "int", "doc_id": "long", "n": "long", "v": "long", "bits": "binary"}
+_SCAN = {"kind": "int", "row_key": "long", "doc_id": "long", "n": "long", "v": "long", "bits": "binary"}
 
 
 def _scan(batches):
@@ -101,10 +101,10 @@ def _scan(batches):
         tokens, counts = np.unique(np.concatenate(held), return_counts=True)
         tokens, counts = tokens[counts >= LOCALLY_OFTEN].view(np.int64), counts[counts >= LOCALLY_OFTEN]
         none = [None] * len(tokens)
-        return {"kind": np.ones(len(tokens), np.int32), "doc_id": none, "n": counts, "v": tokens, "bits": none}
+        return {"kind": np.ones(len(tokens), np.int32), "row_key": none, "doc_id": none, "n": counts, "v": tokens, "bits": none}
 
     for b in batches:
-        out = {name: [] for name in _SCAN} | {"doc_id": b["doc_id"]}
+        out = {name: [] for name in _SCAN} | {"row_key": b["row_key"], "doc_id": b["doc_id"]}
         for text in b["text"]:
             tokens = shingles(text)
             v = set_id(tokens)
@@ -295,11 +295,16 @@ def _compare(pdf):
     return pd.DataFrame({"y": pairs[:, 0], "x": pairs[:, 1]})
 
 
+def row_key() -> Column:
+    return F.xxhash64("doc_id", "text")
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
-    """Per row of `docs`: doc_id, n_shingles, component_id."""
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """Per row of `docs`: doc_id, n_shingles, component_id, component (a key that tells
+    components apart; null for empty sets), row_key (alike for rows of one id and text)."""
+    read = docs.select(row_key().alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     scanned = cut(map_batches(read, _scan, _SCAN))
-    rows = scanned.filter("kind = 0").select("doc_id", "n", "v")
+    rows = scanned.filter("kind = 0").select("row_key", "doc_id", "n", "v")
     sets = cut(scanned.filter("kind = 0 AND n > 0").groupBy("v").agg(F.max("n").alias("n"), F.max("bits").alias("bits"), F.min("doc_id").alias("least")))
     counted = scanned.filter("kind = 1").groupBy("v").agg(F.sum("n").alias("n")).filter(F.col("n") >= OFTEN)
     frequent = counted.orderBy(F.desc("n"), "v").limit(MOST_OFTEN).select("v").collect()
@@ -320,7 +325,20 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     # components take the smallest document id of their sets
     named = sets.join(joined, sets.v == joined.id, "left").select("v", "least", F.coalesce("component", "v").alias("component"))
     names = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(names, "component").select("v", "component_id")
-    linked_rows = rows.filter("n > 0").join(named, "v")
-    alone = rows.filter("n = 0").select("v", "doc_id", "n", F.col("doc_id").alias("component_id"))
-    return linked_rows.select("v", "doc_id", "n", "component_id").union(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    named = named.join(names, "component").select("v", "component", "component_id")
+    columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id", "component", "row_key"]
+    alone = rows.filter("n = 0").withColumns({"component": F.lit(None).cast("long"), "component_id": F.col("doc_id")})
+    return rows.filter("n > 0").join(named, "v").select(*columns).union(alone.select(*columns))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, of each component the one with the smallest id; all empty sets stay."""
+    found = jaccard_components(docs).withColumn("alone", F.when(F.col("component").isNull(), F.col("row_key")))
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_key")
+    first = found.groupBy("component", "alone").agg(F.min(order).alias("first"))
+    key, empty, copy = (free_name(docs, c) for c in ("row_key", "empty", "copy"))
+    first = first.select(F.col("first.row_key").alias(key), F.col("component").isNull().alias(empty))
+    kept = docs.withColumn(key, row_key()).join(first, key)
+    # rows that are alike are one document, unless they are empty
+    copies = F.when(F.col(empty), F.monotonically_increasing_id()).otherwise(F.lit(0))
+    return kept.withColumn(copy, copies).dropDuplicates([key, copy]).drop(key, empty, copy)

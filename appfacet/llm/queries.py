@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appfacet.llm import chat_trees, credential_links, histogram_packing, line_quality, ngram_join, norm_topk, token_prefix, toxic_segments, weight_tree
+from appfacet.llm import chat_trees, credential_links, fuzzy_lines, histogram_packing, line_quality, ngram_join, norm_topk, token_prefix, toxic_segments, weight_tree
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 PROBE = "\\### Assistant: </turn> ok"
@@ -101,6 +101,11 @@ def op6_credential_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credential_links.scan_credentials(table(spark, sf_dir, "documents"))
 
 
+def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic_segments.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -115,7 +120,7 @@ MIX_LEVELS = {
     "lang": "lang",
     "source": "source",
 }
-MIX_WEIGHTS = ("CASE WHEN domain = 'main' THEN 30 ELSE 10 END", "CASE WHEN lang = 'en' THEN 6 ELSE 2 END", "1")
+MIX_WEIGHTS = ("CASE WHEN domain = 'main' THEN 50 ELSE 10 END", "CASE lang WHEN 'en' THEN 12 WHEN 'es' THEN 2 ELSE 3 END", "1")
 MIX_PERCENT, MIX_EPOCHS, MIX_SEED = 90, 2, 7
 
 
@@ -147,7 +152,7 @@ meta AS (SELECT doc_id,
   coalesce(lang, '') AS lang, coalesce(source, '') AS source,
   CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS n_tokens FROM {documents}),
 leaves AS (SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM meta GROUP BY ALL),
-tree AS (SELECT *, CASE WHEN domain = 'main' THEN 30 ELSE 10 END AS wd, CASE WHEN lang = 'en' THEN 6 ELSE 2 END AS wl, 1 AS ws, tokens * {epochs} AS cap FROM leaves),
+tree AS (SELECT *, CASE WHEN domain = 'main' THEN 50 ELSE 10 END AS wd, CASE lang WHEN 'en' THEN 12 WHEN 'es' THEN 2 ELSE 3 END AS wl, 1 AS ws, tokens * {epochs} AS cap FROM leaves),
 d0 AS (SELECT domain, CAST(sum(cap) AS BIGINT) AS capacity, max(wd) AS weight, (SELECT CAST(sum(tokens) AS BIGINT) * {percent} // 100 FROM leaves) AS budget_of FROM tree GROUP BY domain),
 {_share_sql("domain", "d0", "")},
 l0 AS (SELECT t.domain, t.lang, CAST(sum(cap) AS BIGINT) AS capacity, max(wl) AS weight, any_value(b.budget) AS budget_of FROM tree t JOIN domain_b b USING (domain) GROUP BY 1, 2),
@@ -172,6 +177,7 @@ QUERIES = {
     "op4_norm_topk": op4_norm_topk,
     "op5_token_prefix": op5_token_prefix,
     "op6_credential_links": op6_credential_links,
+    "op7_fuzzy_lines": op7_fuzzy_lines,
     "op8_toxic_segments": op8_toxic_segments,
     "op9_histogram_packing": op9_histogram_packing,
     "op10_weight_tree": op10_weight_tree,

@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from appfacet.llm.common import cut
+from appfacet.llm.common import cut, free_name
 
 WORD = r"[^\x20\x09-\x0D]+"
 MOST_BROADCAST_LEAVES = 20_000
@@ -93,7 +93,7 @@ def plan_mix(docs: DataFrame, levels: dict[str, str], weights: Sequence[str], pe
     quotas = leaf_quotas(leaves, names, weights, percent, epochs)
     some = F.greatest("tokens", F.lit(1))
     quotas = cut(quotas.withColumn("whole", F.expr("quota div greatest(tokens, 1)")).withColumn("rest", F.col("quota") % some))
-    placed = with_leaf(meta, quotas.select(*names, "whole", "rest"), names).filter("rest > 0").withColumn("digest", seeded(seed))
+    placed = with_leaf(meta, quotas.select(*names, "whole", "rest"), names).filter("rest > 0").withColumn("digest", seeded(seed, F.col("whole")))
     placed = placed.withColumn("bucket", F.substring("digest", 1, 3))
     sums = placed.groupBy(*names, "bucket").agg(F.sum("n_tokens").alias("in_bucket"), F.max("rest").alias("rest"))
     upto = F.sum("in_bucket").over(Window.partitionBy(*names).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
@@ -107,30 +107,29 @@ def plan_mix(docs: DataFrame, levels: dict[str, str], weights: Sequence[str], pe
     return meta, cut(quotas.join(cuts, names, "left"))
 
 
-def seeded(seed: int) -> Column:
+def seeded(seed: int, whole: Column) -> Column:
     """Order of a document within the epoch after its leaf's whole ones."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), whole.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
 
 
-def taken_epochs(seed: int) -> Column:
-    """Times a row with its leaf's columns is taken."""
-    return F.col("whole") + F.when((F.col("rest") > 0) & (seeded(seed) <= F.col("last")), 1).otherwise(0)
+def taken_epochs(seed: int, whole: Column, rest: Column, last: Column) -> Column:
+    """Times that a row is taken."""
+    return whole + F.when((rest > 0) & (seeded(seed, whole) <= last), 1).otherwise(0)
 
 
 def mix(docs: DataFrame, levels: dict[str, str], weights: Sequence[str], percent: int, epochs: int, seed: int = 7) -> DataFrame:
     """Chosen documents, one row per epoch: doc_id, the levels, n_tokens, epoch."""
     meta, leaves = plan_mix(docs, levels, weights, percent, epochs, seed)
-    rows = with_leaf(meta, leaves.drop("tokens", "quota"), [*levels]).withColumn("times", taken_epochs(seed))
+    rows = with_leaf(meta, leaves.drop("tokens", "quota"), [*levels]).withColumn("times", taken_epochs(seed, F.col("whole"), F.col("rest"), F.col("last")))
     return rows.filter("times > 0").select("doc_id", *levels, "n_tokens", F.explode(F.sequence(F.lit(0), F.col("times").cast("int") - 1)).alias("epoch"))
 
 
 def mix_once(docs: DataFrame, levels: dict[str, str], weights: Sequence[str], percent: int, seed: int = 7) -> DataFrame:
     """The rows of `docs` that a single epoch takes, with all their columns."""
     _, leaves = plan_mix(docs, levels, weights, percent, 1, seed)
-    names = [f"__{n}" for n in levels]
-    leaves = leaves.select(*(F.col(n).alias(f"__{n}") for n in levels), F.struct("whole", "rest", "last").alias("__leaf"))
-    keyed = docs.withColumns({f"__{n}": F.coalesce(F.expr(c).cast("string"), F.lit("")) for n, c in levels.items()})
-    rows = with_leaf(keyed, leaves, names)
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__leaf.whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    keep = (F.col("__leaf.whole") > 0) | ((F.col("__leaf.rest") > 0) & (digest <= F.col("__leaf.last")))
-    return rows.filter(keep).select(*docs.columns)
+    names = {n: free_name(docs, f"{n}_") for n in levels}
+    leaf = free_name(docs, "leaf")
+    leaves = leaves.select(*(F.col(n).alias(own) for n, own in names.items()), F.struct("whole", "rest", "last").alias(leaf))
+    keyed = docs.withColumns({own: F.coalesce(F.expr(levels[n]).cast("string"), F.lit("")) for n, own in names.items()})
+    times = taken_epochs(seed, *(F.col(f"{leaf}.{c}") for c in ("whole", "rest", "last")))
+    return with_leaf(keyed, leaves, [*names.values()]).filter(times > 0).select(*docs.columns)
