@@ -39,5 +39,11 @@ def first_positive_count(*values: Column | str) -> Column:
 
 
 def whole(value: Column) -> Column:
-    """Drop the fraction of a double; NULL where it does not fit a bigint."""
-    return value.try_cast("bigint")
+    """Drop the fraction of a double; of any size."""
+    return value - value % F.lit(1.0)
+
+
+def count_to_text(value: Column) -> Column:
+    """A whole double as digits; above 38 digits, in the double's own form."""
+    digits = value.try_cast("decimal(38,0)").cast("string")
+    return F.coalesce(digits, value.cast("string"))

@@ -11,7 +11,7 @@ from ..functions.numbers import safe_double
 from ..functions.text import is_empty, strip
 from ..schema import KEY, REQUIRED_COLUMNS
 from .columns import add_missing, add_required, as_text, column_or
-from .spread import HOT_ROWS, spread_join
+from .spread import spread_join
 from .validity import count_false, needs_lookup
 
 REAL_INSTALLS = "real_installs"
@@ -57,18 +57,27 @@ def map_supplement(
 def one_per_key(supplement: DataFrame, order_by: list[str] | None = None) -> DataFrame:
     """One supplement row per stripped key; blank keys are dropped.
 
-    The first row by ``order_by``, then by all fields, is kept. This is a grouped
-    minimum, so the copies of a hot key are reduced before the shuffle.
+    The first row by ``order_by``, then by its number of empty fields, then by all fields
+    is kept; a field that is empty there takes the least value that other rows have. These
+    are grouped minima: the copies of a hot key are reduced before the shuffle.
     """
     supplement = add_missing(supplement, SUPPLEMENT_COLUMNS, None)
-    picked = F.min(F.struct(*(order_by or []), *SUPPLEMENT_COLUMNS))
-    return (
+    gaps = count_false(~is_empty(c) for c in SUPPLEMENT_COLUMNS).alias("gaps")
+    rows = (
         supplement.where(~is_empty(KEY))
         .groupBy(strip(KEY).alias(_LOOKUP))
-        .agg(picked.alias("row"))
-        .select(_LOOKUP, *[F.col(f"row.{c}").alias(f"__{c}") for c in SUPPLEMENT_COLUMNS])
+        .agg(
+            F.min(F.struct(*(order_by or []), gaps, *SUPPLEMENT_COLUMNS)).alias("row"),
+            F.struct(*[F.min(F.when(~is_empty(c), F.col(c))).alias(c) for c in SUPPLEMENT_COLUMNS]).alias("other"),
+        )
     )
 
+    def value(name: str) -> Column:
+        own = F.col(f"row.{name}")
+        return F.when(~is_empty(own), own).otherwise(F.col(f"other.{name}")).alias(f"__{name}")
+
+    return rows.select(_LOOKUP, *[value(c) for c in SUPPLEMENT_COLUMNS])
+
 
 def hydrate(
     listings: DataFrame,
@@ -76,7 +85,7 @@ def hydrate(
     *,
     order_by: list[str] | None = None,
     one_pass: bool | None = None,
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Fill empty required fields from the supplement row with the same stripped key.
 
@@ -87,7 +96,8 @@ def hydrate(
     By default rows that need nothing bypass the join, so only the others are
     shuffled, at the price of reading the listings twice. ``one_pass=True`` reads them
     once: right for a supplement below the broadcast threshold, and always used for
-    streams. Keys above ``hot_rows`` rows are split over several tasks.
+    streams. The supplement has one row per key, so that adaptive execution splits hot
+    keys by itself; with ``hot_rows``, keys above so many rows are split up beforehand.
     """
     return hydrate_and_mark(
         listings, supplement, order_by=order_by, one_pass=one_pass, hot_rows=hot_rows
@@ -100,20 +110,22 @@ def hydrate_and_mark(
     *,
     order_by: list[str] | None = None,
     one_pass: bool | None = None,
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = None,
     tested: tuple[str, ...] = REQUIRED_COLUMNS,
+    reduced: bool = False,
 ) -> DataFrame:
     """``hydrate`` plus a column telling whether the row is valid once installs are resolved.
 
     The mark is made from the inputs of the filling rather than from its results, which
-    keeps the filters on it small. ``tested`` leaves out columns known to be filled.
+    keeps the filters on it small. ``tested`` leaves out columns known to be filled;
+    ``reduced`` says that the supplement comes from ``one_per_key``.
     """
     listings = add_required(listings)
     if supplement is None:
         return listings.withColumn(VALID, _valid(listings, tested, {}))
     listings = add_missing(listings, [REAL_INSTALLS], None)
     names = listings.columns
-    rows = one_per_key(supplement, order_by)
+    rows = supplement if reduced else one_per_key(supplement, order_by)
     needs = needs_lookup(tested)
     if one_pass or (one_pass is None and listings.isStreaming):
         keyed = listings.withColumn(_LOOKUP, F.when(needs, strip(KEY)))

@@ -5,20 +5,20 @@ rows of such a key take a share from the input partition they come from, right r
 are repeated once per share, and the join runs on (key, share). Every left row meets
 exactly the right rows of its key, so the result is that of the plain join.
 
-The table of hot keys is broadcast: it has at most ``rows / hot_rows`` entries. The
-share depends on the partition number only, hence a retried task assigns it again
-the same way.
+The table of hot keys has at most ``rows / hot_rows`` entries; Spark decides by its size
+whether to broadcast it. The share depends on the partition number only, hence a retried task assigns it again
+the same way. Without ``hot_rows`` the joins are plain ones, whose skew adaptive
+execution handles where the other side has one row per key.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-HOT_ROWS = 1_000_000
 _KEY, _SHARES, _SHARE = "__hot_key", "__shares", "__share"
 
 
-def hot_keys(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, key: Column, hot_rows: int) -> DataFrame:
     """Keys with more than ``hot_rows`` rows and the number of shares each one gets."""
     counted = df.groupBy(key.alias(_KEY)).agg(F.count(F.lit(1)).alias("rows"))
     return counted.where((F.col("rows") > hot_rows) & F.col(_KEY).isNotNull()).select(
@@ -28,7 +28,7 @@ def hot_keys(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
 
 def with_share(left: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Give left rows their share; NULL keys match nothing and spread freely."""
-    joined = left.join(F.broadcast(hot), F.col(key) == F.col(_KEY), "left")
+    joined = left.join(hot, F.col(key) == F.col(_KEY), "left")
     share = (
         F.when(F.col(key).isNull(), F.spark_partition_id())
         .when(F.col(_SHARES).isNotNull(), F.pmod(F.spark_partition_id(), F.col(_SHARES)))
@@ -39,7 +39,7 @@ def with_share(left: DataFrame, key: str, hot: DataFrame) -> DataFrame:
 
 def per_share(right: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Repeat right rows once per share of their key."""
-    joined = right.join(F.broadcast(hot), F.col(key) == F.col(_KEY), "left")
+    joined = right.join(hot, F.col(key) == F.col(_KEY), "left")
     shares = F.sequence(F.lit(0), F.coalesce(F.col(_SHARES), F.lit(1)) - 1)
     return joined.withColumn(_SHARE, F.explode(shares)).drop(_KEY, _SHARES)
 
@@ -49,7 +49,7 @@ def spread_join(
     right: DataFrame,
     key: str,
     how: str = "left",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Join ``right`` to ``left`` on one equally named column; ``left`` may be skewed.
 
@@ -63,23 +63,33 @@ def spread_join(
 
 
 def attach_features(
-    base: DataFrame, parts: list[DataFrame], on: str, hot_rows: int | None = HOT_ROWS
+    base: DataFrame, parts: list[DataFrame], on: str, hot_rows: int | None = None
 ) -> DataFrame:
     """Left-join feature frames to ``base`` one after another on one key.
 
-    A key that occurs several times on both sides fans out, as a left join does. The
-    shares are assigned once, so ``base`` is shuffled once for all parts.
+    A key that occurs several times on both sides fans out to all its combinations, as a
+    left join does. With ``hot_rows``, keys above so many rows on either side are split.
     """
     names = [c for c in base.columns] + [c for p in parts for c in p.columns if c != on]
     doubled = sorted({c for c in names if names.count(c) > 1})
     if doubled:
         raise ValueError(f"feature columns {doubled} occur in more than one frame")
-    if hot_rows is None or base.isStreaming:
-        for part in parts:
-            base = base.join(part, on, "left")
-        return base
-    hot = hot_keys(base, F.col(on), hot_rows)
-    result = with_share(base, on, hot)
     for part in parts:
-        result = result.join(per_share(part, on, hot), [on, _SHARE], "left")
-    return result.drop(_SHARE)
+        if hot_rows is None or base.isStreaming:
+            base = base.join(part, on, "left")
+        else:
+            base = _both_spread(base, part, on, hot_rows)
+    return base
+
+
+def _both_spread(left: DataFrame, right: DataFrame, on: str, hot_rows: int) -> DataFrame:
+    """A left join whose hot keys, on either side, meet in a grid of shares."""
+    l_hot, r_hot = hot_keys(left, F.col(on), hot_rows), hot_keys(right, F.col(on), hot_rows)
+    l_side = with_share(left, on, l_hot).withColumnRenamed(_SHARE, "__left_share")
+    r_side = with_share(right, on, r_hot).withColumnRenamed(_SHARE, "__right_share")
+    l_side = per_share(l_side, on, r_hot).withColumnRenamed(_SHARE, "__right_share")
+    r_side = per_share(r_side, on, l_hot).withColumnRenamed(_SHARE, "__left_share")
+    met = l_side.join(r_side, [on, "__left_share", "__right_share"]).drop("__left_share", "__right_share")
+    known = right.select(on).distinct()
+    alone = spread_join(left, known, on, "left_anti", hot_rows)
+    return met.unionByName(alone, allowMissingColumns=True)

@@ -8,16 +8,16 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.text import is_empty
-from ..operators.impute import impute_listing_metrics, imputation_counts
+from ..operators.columns import add_missing
+from ..operators.impute import impute_listing_metrics
 from ..operators.lookup import VALID
 from ..operators.reports import total_of
-from ..schema import REQUIRED_COLUMNS
+from ..schema import FILLABLE_COLUMNS, REQUIRED_COLUMNS
 from ..sources.rules import CategoryRules
 from ..sources.tables import (
-    read_csv,
     read_for_imputation,
-    read_table,
-    with_parallelism,
+    read_listings,
+    with_partitions,
     writer,
 )
 from .enrich import EnrichResult, check_listings, enrich_keys, result_of_marked
@@ -80,14 +80,18 @@ def write_result(
     )
 
 
-def _read(spark: SparkSession, path: str, format: str) -> DataFrame:
-    rows = read_csv(spark, path) if format == "csv" else read_table(spark, path, format)
-    return with_parallelism(rows)
+def _result(
+    marked: DataFrame,
+    folder: str | None,
+    rules: CategoryRules | None,
+    months_policy: str | None,
+) -> EnrichResult:
+    return result_of_marked(staged(marked, folder) if folder else marked, rules, months_policy)
 
 
 def run_enrichment(
     spark: SparkSession,
-    input_path: str,
+    input_path: str | list[str],
     output: str,
     invalid_output: str,
     *,
@@ -95,6 +99,8 @@ def run_enrichment(
     rules: CategoryRules | None = None,
     months_policy: str | None = None,
     input_format: str = "csv",
+    csv_options: dict | None = None,
+    partitions: int | None = None,
     output_format: str = "csv",
     mode: str = "errorifexists",
     staging: str | None = None,
@@ -104,43 +110,70 @@ def run_enrichment(
 
     With a supplement the joined rows are staged in ``staging``, or else in the shared
     folder of the cluster; without either they are computed once per output.
+    ``csv_options`` go to ``read_csv``, ``partitions`` deals the input out anew.
     """
-    marked = check_listings(_read(spark, input_path, input_format), supplement, **lookup_options)
+    listings = read_listings(spark, input_path, input_format, **(csv_options or {}))
+    marked = check_listings(with_partitions(listings, partitions), supplement, **lookup_options)
     folder = staging or (shared_folder(spark) if supplement is not None else None)
-    result = result_of_marked(staged(marked, folder) if folder else marked, rules, months_policy)
+    result = _result(marked, folder, rules, months_policy)
     return write_result(result, output, invalid_output, format=output_format, mode=mode)
 
 
 def run_imputation(
     spark: SparkSession,
-    input_path: str,
+    input_path: str | list[str],
     output: str,
     *,
     seed: int = 0,
+    input_format: str = "csv",
+    csv_options: dict | None = None,
     format: str = "csv",
     mode: str = "errorifexists",
 ) -> dict[str, int]:
-    """Read rows, write all of them with the fillable columns filled."""
-    rows = read_for_imputation(spark, input_path)
+    """Read rows, write all of them with the fillable columns filled.
+
+    The counts are observed on the rows as they are written.
+    """
+    rows = add_missing(
+        read_for_imputation(spark, input_path, input_format, **(csv_options or {})), FILLABLE_COLUMNS
+    )
+    seen = Observation()
+    cells = sum((is_empty(c).cast("bigint") for c in FILLABLE_COLUMNS), F.lit(0).cast("bigint"))
+    rows = rows.observe(
+        seen, F.count(F.lit(1)).alias("input_rows"), total_of(cells).alias("filled_cells")
+    )
     writer(impute_listing_metrics(rows, seed), format, mode).save(output)
-    return imputation_counts(rows).first().asDict()
+    return dict(seen.get)
 
 
 def run_keys(
     spark: SparkSession,
-    input_path: str,
+    input_path: str | list[str],
     keys: DataFrame,
     output: str,
     invalid_output: str,
     *,
     supplement: DataFrame | None = None,
     rules: CategoryRules | None = None,
+    months_policy: str | None = None,
+    order_by: list[str] | None = None,
+    hot_rows: int | None = None,
     seed: int = 0,
     input_format: str = "csv",
+    csv_options: dict | None = None,
     output_format: str = "csv",
     mode: str = "errorifexists",
+    staging: str | None = None,
 ) -> JobReport:
-    """Enrich the rows of some keys from paths to paths."""
-    listings = _read(spark, input_path, input_format)
-    result = enrich_keys(listings, keys, supplement, seed=seed, rules=rules)
+    """Enrich the rows of some keys from paths to paths, staged as in ``run_enrichment``."""
+    found = enrich_keys(
+        read_listings(spark, input_path, input_format, **(csv_options or {})),
+        keys,
+        supplement,
+        seed=seed,
+        order_by=order_by,
+        hot_rows=hot_rows,
+    )
+    folder = staging or (shared_folder(spark) if supplement is not None else None)
+    result = _result(found.marked, folder, rules, months_policy)
     return write_result(result, output, invalid_output, format=output_format, mode=mode)

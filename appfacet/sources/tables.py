@@ -67,24 +67,32 @@ def read_csv(
     return nullify(raw, null_tokens)
 
 
-def read_table(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
+def read_table(spark: SparkSession, path: str | list[str], format: str = "parquet") -> DataFrame:
     """Listings in a columnar format, all columns as text."""
     return as_text(spark.read.format(format).load(path))
 
 
-def with_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:
-    """Redistribute a table whose files give fewer input splits than there are cores.
+def with_partitions(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal the rows out to ``partitions``; as they are read without it.
 
-    The term search is bound by computation, so a few large splits would leave cores
-    idle. A table with enough splits, as any large one, is returned as it is.
+    Worth its shuffle for few large splits, as of multi-line files: the term search is
+    bound by computation.
     """
-    wanted = minimum or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+    return df if partitions is None else df.repartition(partitions)
 
 
-def read_for_imputation(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Delimited rows for the imputer: names in lower case, no renaming of the key."""
-    return lower_names(read_csv(spark, path, **options))
+def read_listings(
+    spark: SparkSession, path: str | list[str], format: str = "csv", **csv_options
+) -> DataFrame:
+    """Listings in any format; ``csv_options`` are those of ``read_csv``."""
+    return read_csv(spark, path, **csv_options) if format == "csv" else read_table(spark, path, format)
+
+
+def read_for_imputation(
+    spark: SparkSession, path: str | list[str], format: str = "csv", **csv_options
+) -> DataFrame:
+    """Rows for the imputer: names in lower case, no renaming of the key."""
+    return lower_names(read_listings(spark, path, format, **csv_options))
 
 
 def writer(df: DataFrame, format: str = "csv", mode: str = "errorifexists") -> DataFrameWriter:

@@ -233,7 +233,7 @@ def resolved(source):
     real = num("real_installs")
     return (
         f"SELECT * EXCLUDE (real_installs) REPLACE (CASE WHEN {real} > 0 "
-        f"THEN CAST(CAST(trunc({real}) AS BIGINT) AS STRING) ELSE installs END AS installs) "
+        f"THEN CAST(CAST(trunc({real}) AS HUGEINT) AS STRING) ELSE installs END AS installs) "
         f"FROM {source}"
     )
 
@@ -256,7 +256,7 @@ def imputed(source, key="bundle_id"):
     )
     return (
         f"SELECT * EXCLUDE (r) REPLACE ({replaced}) FROM (SELECT *, greatest(1, CAST(trunc("
-        f"coalesce({', '.join(counts)}, CAST(100000 AS DOUBLE)) * CAST(0.01 AS DOUBLE)) AS BIGINT))"
+        f"coalesce({', '.join(counts)}, CAST(100000 AS DOUBLE)) * CAST(0.01 AS DOUBLE)) AS HUGEINT))"
         f" AS r FROM {source})"
     )
 
@@ -286,13 +286,19 @@ def percent(part, total):
 
 
 def ctes() -> dict[str, str]:
-    order = ", ".join(f"{c} NULLS FIRST" for c in SUPPLEMENT)
+    gaps = " + ".join(f"CAST({empty(c)} AS INTEGER)" for c in SUPPLEMENT)
+    order = ", ".join((gaps, *(f"{c} NULLS FIRST" for c in SUPPLEMENT)))
+    own = ", ".join(
+        f"coalesce(CASE WHEN NOT {empty(c)} THEN {c} END, min({c}) FILTER (NOT {empty(c)}) OVER one) AS {c}"
+        for c in SUPPLEMENT
+    )
     named = {
         **duck_ctes(),
         "with_months": "SELECT * EXCLUDE (released, months), months AS months_since_launch FROM all_records",
         "supplement": f"SELECT {aliased(SUPPLEMENT)} FROM listing_source",
         "supplement_one": (
-            f"SELECT {strip('bundle_id')} AS lookup_key, * FROM supplement WHERE NOT {empty('bundle_id')} "
+            f"SELECT {strip('bundle_id')} AS lookup_key, {own} FROM supplement WHERE NOT {empty('bundle_id')} "
+            f"WINDOW one AS (PARTITION BY {strip('bundle_id')}) "
             f"QUALIFY row_number() OVER (PARTITION BY {strip('bundle_id')} ORDER BY {order}) = 1"
         ),
         "hydrated": hydrated("app_records"),

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from appfacet import default_rules
-from appfacet.sources.tables import with_parallelism
+from appfacet.sources.tables import with_partitions
 
 AS_OF = "2003-01-01"
 
@@ -92,7 +92,7 @@ def record_columns(e: dict) -> dict[str, str]:
             WHEN k % 6 = 2 THEN phrase || ' ' || body
             WHEN k % 6 = 3 THEN body || upper(phrase) || 'x'
             WHEN k % 6 = 4 THEN body || ' ' || replace(phrase, ' ', chr(10))
-            ELSE phrase END""",
+            ELSE phrase || chr(10) || body END""",
         "summary": """CASE WHEN k % 59 = 4 THEN '   ' WHEN k % 73 = 6 THEN NULL
             WHEN k % 7 = 0 THEN 'An app for all'
             WHEN k % 7 = 1 THEN word
@@ -115,7 +115,7 @@ def record_columns(e: dict) -> dict[str, str]:
         "installs": f"""CASE WHEN k % 37 = 1 THEN 'Varies with device'
             WHEN k % 37 = 2 THEN CAST(n AS STRING) WHEN k % 37 = 3 THEN '1 000 000+'
             WHEN k % 37 = 4 THEN '-5' WHEN k % 37 = 5 THEN '' WHEN k % 37 = 6 THEN NULL
-            WHEN k % 37 = 7 THEN '0' WHEN k % 37 = 8 THEN '1_000'
+            WHEN k % 223 = 9 THEN '1e22' WHEN k % 37 = 7 THEN '0' WHEN k % 37 = 8 THEN '1_000'
             ELSE {grouped} || '+' END""",
         "developerid": "CASE WHEN k % 101 = 1 THEN '' ELSE 'dev' || owner END",
         "developer": "CASE WHEN k % 103 = 1 THEN chr(9) ELSE 'Customer ' || owner END",
@@ -128,7 +128,7 @@ def record_columns(e: dict) -> dict[str, str]:
             WHEN k % 13 = 4 THEN '1.0' ELSE 'no' END""",
         "days_since_released": """CASE WHEN k % 53 = 5 THEN '' WHEN k % 53 = 6 THEN 'soon'
             ELSE CAST(age % 1200 AS STRING) END""",
-        "real_installs": """CASE WHEN k % 9 = 0 THEN CAST(n AS STRING) WHEN k % 9 = 1 THEN '0'
+        "real_installs": """CASE WHEN k % 211 = 1 THEN '1e19' WHEN k % 211 = 2 THEN '1e22' WHEN k % 9 = 0 THEN CAST(n AS STRING) WHEN k % 9 = 1 THEN '0'
             WHEN k % 9 = 2 THEN 'junk' WHEN k % 9 = 3 THEN '123456.7' WHEN k % 9 = 4 THEN '-3'
             ELSE NULL END""",
         "min_installs": "CASE WHEN k % 4 = 0 THEN CAST(n AS STRING) ELSE NULL END",
@@ -174,7 +174,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table over all cores also where its file is a single input split."""
-    return with_parallelism(table(spark, sf_dir, name))
+    return with_partitions(table(spark, sf_dir, name), spark.sparkContext.defaultParallelism)
 
 
 def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
