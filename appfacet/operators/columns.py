@@ -52,18 +52,23 @@ def normalise_columns(df: DataFrame) -> DataFrame:
 def text_of(name: str, kind: T.DataType) -> Column:
     """A value as text, as it would read in a delimited file.
 
-    NaN counts as missing; whole doubles lose their ``.0`` so that ``1.0`` reads as ``1``.
+    NaN counts as missing; whole doubles lose their ``.0`` so that ``1.0`` reads as ``1``,
+    up to 38 digits.
     """
     value = F.col(f"`{name}`")
     if isinstance(kind, T.BooleanType):
         return F.when(value, F.lit("True")).when(~value, F.lit("False"))
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        is_whole = (value == F.floor(value)) & (F.abs(value) < F.lit(2.0**53))
-        text = F.when(is_whole, value.try_cast("bigint").cast("string")).otherwise(value.cast("string"))
-        return F.when(~F.isnan(value), text)
+        digits = F.when(value % 1 == 0, value.try_cast("decimal(38,0)").cast("string"))
+        return F.when(~F.isnan(value), F.coalesce(digits, value.cast("string")))
     return value.cast("string")
 
 
+def cell(name: str, kind: T.DataType) -> Column:
+    """A column as text, whatever its type."""
+    return F.col(f"`{name}`") if isinstance(kind, T.StringType) else text_of(name, kind)
+
+
 def as_text(df: DataFrame) -> DataFrame:
     """All columns as strings, so that one set of text rules holds for any source."""
     return df.select(

@@ -20,7 +20,7 @@ from ..schema import (
 )
 from ..sources.rules import CategoryRules, default_rules
 from .categories import category_flags, with_phases
-from .columns import column_or
+from .columns import as_text, column_or
 
 MONTHS = "months_since_launch"
 DAYS = "days_since_released"
@@ -87,6 +87,11 @@ def rating_columns(token: Column) -> dict[str, Column]:
 
 
 # --- families --------------------------------------------------------------
+def _texts(df: DataFrame) -> DataFrame:
+    """The columns as text, so that typed tables follow the rules of delimited ones."""
+    return as_text(df)
+
+
 def _family(df: DataFrame, parsed: dict[str, Column], flags: dict[str, Column]) -> DataFrame:
     return df.select(KEY, *[c.alias(n) for n, c in parsed.items()]).select(
         KEY, *[c.alias(n) for n, c in flags.items()]
@@ -94,24 +99,29 @@ def _family(df: DataFrame, parsed: dict[str, Column], flags: dict[str, Column])
 
 
 def score_features(df: DataFrame) -> DataFrame:
+    df = _texts(df)
     return _family(df, {_PARSED: score_number(df)}, bin_flags(F.col(_PARSED), SCORE_BINS))
 
 
 def install_features(df: DataFrame) -> DataFrame:
+    df = _texts(df)
     return _family(df, {_PARSED: install_number(df)}, bin_flags(F.col(_PARSED), INSTALL_BINS))
 
 
 def age_features(df: DataFrame, months_policy: str = "dataset") -> DataFrame:
+    df = _texts(df)
     months = months_number(df, months_policy)
     return _family(df, {_PARSED: months}, bin_flags(F.col(_PARSED), AGE_BINS))
 
 
 def pricing_features(df: DataFrame) -> DataFrame:
+    df = _texts(df)
     parsed = {"__free": free_value(df), "__iap": iap_value(df)}
     return _family(df, parsed, pricing_columns(F.col("__free"), F.col("__iap")))
 
 
 def rating_features(df: DataFrame) -> DataFrame:
+    df = _texts(df)
     return _family(
         df, {_PARSED: normal_token("content_rating")}, rating_columns(F.col(_PARSED))
     )

@@ -10,7 +10,7 @@ from ..functions.dates import days_since, parse_release_date
 from ..functions.numbers import safe_double
 from ..functions.text import is_empty, strip
 from ..schema import KEY, REQUIRED_COLUMNS
-from .columns import add_missing, add_required, as_text, column_or
+from .columns import add_missing, add_required, as_text, column_or, find_column
 from .spread import spread_join
 from .validity import count_false, needs_lookup
 
@@ -35,13 +35,17 @@ def map_supplement(
     text = as_text(source)
     real = field("realInstalls")
     usable_real = F.when(~is_empty(real) & (strip(real) != "0"), real)
+    # A score is a number with a point: 4 reads as 4.0, as imputed scores do.
+    score = field("score")
+    if dict(source.dtypes).get(find_column(source, "score")) in ("double", "float"):
+        score = F.when(score.rlike("^-?[0-9]+$"), F.concat(score, F.lit(".0"))).otherwise(score)
     columns = {
         KEY: field(KEY),
         "description": field("description"),
         "summary": field("summary"),
         "genreid": field("genreId"),
         "content_rating": field("contentRating"),
-        "score": field("score"),
+        "score": score,
         "ratings_count": field("ratings"),
         "installs": F.coalesce(usable_real, field("installs")),
         "developerid": field("developerId"),

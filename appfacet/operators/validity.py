@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import is_empty
 from ..schema import KEY, REQUIRED_COLUMNS
+from .columns import cell
 
 
 def count_false(conditions: Iterable[Column]) -> Column:
@@ -28,9 +29,10 @@ def any_empty(columns: Iterable[str]) -> Column:
 def valid_row(df: DataFrame, required: Iterable[str] = REQUIRED_COLUMNS) -> Column:
     """TRUE where no required field is empty; FALSE everywhere if a column is absent."""
     required = list(required)
-    if not set(required) <= set(df.columns):
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    if not set(required) <= kinds.keys():
         return F.lit(False)
-    return ~any_empty(required)
+    return count_false(~is_empty(cell(c, kinds[c])) for c in required) == 0
 
 
 def split_valid(

@@ -201,7 +201,7 @@ SUPPLEMENT = {
     "summary": "summary",
     "genreid": "genreId",
     "content_rating": "contentRating",
-    "score": number_text("score"),
+    "score": "CAST(CAST(score AS DOUBLE) AS STRING)",
     "ratings_count": "CAST(ratings AS STRING)",
     "installs": "coalesce(CAST(nullif(realInstalls, 0) AS STRING), installs)",
     "developerid": "developerId",

@@ -509,6 +509,51 @@ def imputation_counters(spark, sf):
     return imputation_counts(app_records(spark, sf))
 
 
+# --- typed tables -----------------------------------------------------------
+TYPED = (
+    "CAST(c_custkey AS DOUBLE) AS bundle_id, CASE WHEN c_custkey % 5 = 0 THEN CAST('NaN' AS DOUBLE) ELSE c_acctbal END AS score, "
+    "CAST(c_custkey % 3 AS DOUBLE) AS free, c_custkey % 2 = 0 AS offers_iap, CAST(NULL AS DOUBLE) AS ratings_count, "
+    "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_custkey END AS days_since_released"
+)
+
+
+def typed_customers(spark, sf):
+    return table(spark, sf, "customer").selectExpr(*TYPED.split(", "))
+
+
+@query(
+    f"""SELECT CAST(c_custkey AS BIGINT) AS custkey, c_custkey % 5 <> 0 AND c_custkey % 7 <> 0 AS ok FROM customer"""
+)
+def split_typed_customers(spark, sf):
+    """NaN and NULL of typed columns are gaps."""
+    valid, invalid = split_valid(typed_customers(spark, sf), ("score", "days_since_released"))
+    part = lambda df, ok: df.select(F.col("bundle_id").cast("bigint").alias("custkey"), F.lit(ok).alias("ok"))
+    return part(valid, True).union(part(invalid, False))
+
+
+@query(
+    """SELECT CAST(c_custkey AS STRING) AS bundle_id, CAST(c_custkey % 3 = 1 AS INTEGER) AS is_free_app,
+    CAST(c_custkey % 3 = 0 AS INTEGER) AS is_paid_app, CAST(c_custkey % 2 = 0 AS INTEGER) AS offers_iap_flag,
+    CAST(c_custkey % 2 = 1 AS INTEGER) AS no_iap_flag FROM customer"""
+)
+def pricing_of_typed_columns(spark, sf):
+    """1.0 and TRUE both read as yes."""
+    return af.pricing_features(typed_customers(spark, sf))
+
+
+@query(
+    f"""SELECT key, CASE WHEN k % 5 = 0 THEN score ELSE own END AS score, ratings_count, CASE WHEN k % 7 = 0
+    THEN days_since_released ELSE CAST(k AS STRING) END AS days_since_released FROM ({o.imputed(
+    "(SELECT CAST(c_custkey AS DOUBLE) AS key, c_custkey AS k, " + o.number_text("c_acctbal") + " AS own, "
+    "CAST(CAST(c_custkey AS DOUBLE) AS STRING) AS md5_key, '' AS score, '' AS ratings_count, "
+    "'' AS days_since_released, '' AS installs, '' AS real_installs, '' AS min_installs FROM customer)", "md5_key")})"""
+)
+def impute_typed_metrics(spark, sf):
+    """NaN of a typed column is filled; the column is text afterwards."""
+    filled = impute_listing_metrics(typed_customers(spark, sf))
+    return filled.select(F.col("bundle_id").alias("key"), "score", "ratings_count", "days_since_released")
+
+
 # --- joins of feature frames -----------------------------------------------
 CUSTOMER_FLAGS = o.aliased(o.binned("c_acctbal", BALANCE, "balance_missing", (5000, 1000, 0)))
 ORDER_FLAGS = o.aliased(

@@ -282,3 +282,54 @@ def test_only_needy_rows_are_shuffled(spark, table, listing, supplement):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in text and "CartesianProduct" not in text and "Union" in text
+
+
+# --- skew, sizes, plans ----------------------------------------------------
+@pytest.mark.parametrize("hot_rows", [None, 1, 5])
+def test_hot_keys_on_either_side(spark, hot_rows):
+    base = spark.range(60).selectExpr("CASE WHEN id % 7 = 6 THEN NULL ELSE id % 7 END AS k", "id AS a")
+    part = spark.range(90).selectExpr("CASE WHEN id < 70 THEN 2 ELSE id % 5 END AS k", "id AS b")
+    other = spark.range(3).selectExpr("id AS k", "id * 2 AS c")
+    plain = base.join(part, "k", "left").join(other, "k", "left")
+    assert rows_of(attach_features(base, [part, other], "k", hot_rows)) == rows_of(plain)
+
+
+def test_counts_beyond_bigint_are_kept(table, listing):
+    rows = [listing("a", installs="", real_installs="1e19"), listing("b", real_installs="1e22"), listing("c", installs="", real_installs="0")]
+    result = af.enrich_listings(table(rows))
+    installs = {r["bundle_id"]: r["installs"] for r in result.valid.collect()}
+    assert installs == {"a": "1" + "0" * 19, "b": "1" + "0" * 22}
+    assert [r["bundle_id"] for r in result.invalid.collect()] == ["c"]
+    ratings = af.impute_listing_metrics(table([listing(installs="1e22", ratings_count="")])).first()["ratings_count"]
+    assert ratings == "1" + "0" * 20
+
+
+def test_fullest_supplement_row_fills_and_others_complete_it(spark, table, listing):
+    rows = table([{"bundle_id": "k"}, {"bundle_id": "k", "summary": "s", "developer": "d"}, {"bundle_id": "k", "score": "4.0", "summary": "zz"}])
+    rows = rows.select("*", *[F.lit(None).cast("string").alias(c) for c in REQUIRED_COLUMNS if c not in rows.columns])
+    got = af.hydrate(table([listing("k", summary="", developer=" ", score=None)]), rows).first()
+    assert (got["summary"], got["developer"], got["score"]) == ("s", "d", "4.0")
+
+
+def test_nan_of_typed_columns_is_a_gap(spark):
+    df = spark.sql("SELECT 'k' bundle_id, double('NaN') score, 5L ratings_count, 1.0D free, true offers_iap")
+    valid, invalid = split_valid(df, ("bundle_id", "score"))
+    assert (valid.count(), invalid.count()) == (0, 1)
+    filled = af.impute_listing_metrics(df).first()
+    assert float(filled["score"]) >= 3.0 and filled["ratings_count"] == "5"
+    assert af.pricing_features(df).first()["is_free_app"] == 1
+
+
+def test_key_flow_reads_each_input_little(spark, tmp_path, table, listing):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        table([listing(f"app.{i}") for i in range(9)]).write.parquet(f"{tmp_path}/listings")
+        spark.sql(SOURCE).write.parquet(f"{tmp_path}/source")
+        keys = spark.sql("SELECT explode(array('app.1', 'app.one')) k")
+        source = af.map_supplement(spark.read.parquet(f"{tmp_path}/source"), "2020-06-01")
+        result = af.enrich_keys(spark.read.parquet(f"{tmp_path}/listings"), keys, source, months_policy="row")
+        lines = [line for line in plan(result.valid).split("\n") if "FileScan" in line]
+        assert sum("listings" in line for line in lines) <= 2 and sum("source" in line for line in lines) <= 2
+        assert {r["bundle_id"] for r in result.valid.collect()} == {"app.1", "app.one"}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
