@@ -25,6 +25,8 @@ unless all ids there are null; an empty table gives no rows.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,17 +79,24 @@ def set_id(tokens: np.ndarray) -> int:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    """Parity of the tokens on each of 2^k >= 2n bits; wider maps fold onto narrower ones."""
-    width = max(64, 1 << (2 * len(tokens) - 1).bit_length())
+    """Parity of the tokens on each of 2^k >= n bits; wider maps fold onto narrower ones."""
+    width = max(64, 1 << (len(tokens) - 1).bit_length())
     odd = np.bincount((tokens & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def fold(bits: np.ndarray, width: int) -> np.ndarray:
-    while len(bits) > width:
-        half = len(bits) // 2
-        bits = bits[:half] ^ bits[half:]
-    return bits
+def differ(a: int, a_width: int, b: int, b_width: int) -> int:
+    """Least symmetric difference of two sets that their bitmaps allow."""
+    while a_width != b_width:
+        if a_width < b_width:
+            a, a_width, b, b_width = b, b_width, a, a_width
+        a_width //= 2
+        a = (a ^ a >> a_width) & ((1 << a_width) - 1)
+    return (a ^ b).bit_count()
+
+
+def as_number(bits: bytes) -> int:
+    return int.from_bytes(bits, "little")
 
 
 _SCAN = {"kind": "int", "row_key": "long", "doc_id": "long", "n": "long", "v": "long", "bits": "binary"}
@@ -208,10 +217,8 @@ def _bound(batches):
         may = []
         for ok, s, t, p, q in zip(b["may"], b["y_n"], b["x_n"], b["y_bits"], b["x_bits"], strict=True):
             if ok:
-                p, q = np.frombuffer(p, np.uint8), np.frombuffer(q, np.uint8)
-                width = min(len(p), len(q))
-                differ = int(np.bitwise_count(fold(p, width) ^ fold(q, width)).sum())
-                ok = int((NUMERATOR + DENOMINATOR) * differ <= (DENOMINATOR - NUMERATOR) * (s + t))
+                least = differ(as_number(p), 8 * len(p), as_number(q), 8 * len(q))
+                ok = int((NUMERATOR + DENOMINATOR) * least <= (DENOMINATOR - NUMERATOR) * (s + t))
             may.append(ok)
         yield {"y": b["y"], "x": b["x"], "may": may}
 
@@ -261,38 +268,29 @@ def _leftover(stars: DataFrame, linked: DataFrame, sets: DataFrame, joined: Data
     all_ = lambda c: F.explode(F.sequence(F.lit(0), chunks(c) - 1))
     asked = entries.filter("held IS NULL").select("x", "y", "n", "bits", "component", here("u", 1).alias("us"), all_("m").alias("ms"), F.lit(1).alias("asks"))
     other = entries.select("x", "y", "n", "bits", "component", here("m", 2).alias("ms"), all_("u").alias("us"), F.lit(0).alias("asks"))
-    grouped = asked.unionByName(other).groupBy("x", "us", "ms")
-    return grouped.applyInPandas(_compare, "y long, x long").distinct()
-
-
-def _compare(pdf):
-    """A chunk of asking sets against a chunk of others, by their bitmaps."""
-    import pandas as pd
-
-    asks = pdf["asks"].to_numpy() == 1
-    ys, n, component = pdf["y"].to_numpy(), pdf["n"].to_numpy(), pdf["component"].to_numpy()
-    bits = [np.frombuffer(x, np.uint8) for x in pdf["bits"]]
-    widths = np.array([len(x) for x in bits])
-    out = []
-    others = np.nonzero(~asks)[0]
-    # others at each width that some asking set needs, folded once
-    at_width = {}
-    for i in np.nonzero(asks)[0]:
-        fits = (component[others] != component[i]) & (n[others] * DENOMINATOR >= n[i] * NUMERATOR) & (n[i] * DENOMINATOR >= n[others] * NUMERATOR)
-        for width in np.unique(widths[others[fits]]):
-            key = (int(width), min(int(width), len(bits[i])))
-            if key not in at_width:
-                rows = others[widths[others] == width]
-                at_width[key] = rows, np.stack([fold(bits[j], key[1]) for j in rows])
-            rows, table = at_width[key]
-            mine = fold(bits[i], key[1])
-            near = (component[rows] != component[i]) & (n[rows] * DENOMINATOR >= n[i] * NUMERATOR) & (n[i] * DENOMINATOR >= n[rows] * NUMERATOR)
-            rows, table = rows[near], table[near]
-            differ = np.bitwise_count(table ^ mine).sum(1, dtype=np.int64)
-            hits = rows[(NUMERATOR + DENOMINATOR) * differ <= (DENOMINATOR - NUMERATOR) * (n[rows] + n[i])]
-            out.append(np.stack([np.minimum(ys[i], ys[hits]), np.maximum(ys[i], ys[hits])], 1))
-    pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-    return pd.DataFrame({"y": pairs[:, 0], "x": pairs[:, 1]})
+    groups = asked.unionByName(other).repartition("x", "us", "ms").sortWithinPartitions("x", "us", "ms", "asks", "n")
+    return map_batches(groups, _compare, {"y": "long", "x": "long"}).distinct()
+
+
+def _compare(batches):
+    """Chunks of asking sets against chunks of others, by their bitmaps; rows come sorted by
+    chunk, others first and by size."""
+    chunk, others, sizes, seen = None, [], [], set()
+    for b in batches:
+        seen.clear()
+        for x, us, ms, asks, y, n, bits, component in zip(*(b[c] for c in ("x", "us", "ms", "asks", "y", "n", "bits", "component")), strict=True):
+            if (x, us, ms) != chunk:
+                chunk, others, sizes = (x, us, ms), [], []
+            mine, width = as_number(bits), 8 * len(bits)
+            if not asks:
+                others.append((y, n, mine, width, component))
+                sizes.append(n)
+                continue
+            low, high = bisect_left(sizes, -(-n * NUMERATOR // DENOMINATOR)), bisect_right(sizes, n * DENOMINATOR // NUMERATOR)
+            for z, m, theirs, their_width, of in others[low:high]:
+                if of != component and (NUMERATOR + DENOMINATOR) * differ(mine, width, theirs, their_width) <= (DENOMINATOR - NUMERATOR) * (n + m):
+                    seen.add((min(y, z), max(y, z)))
+        yield {"y": [a for a, _ in seen], "x": [z for _, z in seen]}
 
 
 def row_key() -> Column:
@@ -312,11 +310,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     entries = map_batches(read.select("text"), _postings(often), {"token": "long", "entry": "long", "v": "long"})
     lists = entries.repartition("token").sortWithinPartitions("token", "entry", "v")
     met = map_arrays(lists, _meet, {"y": "long", "x": "long", "may": "int"})
-    stars = met.filter("y <> x").groupBy("y", "x").agg(F.min("may").alias("may"))
+    stars = cut(met.filter("y <> x").groupBy("y", "x").agg(F.min("may").alias("may")))
     sides = lambda c: sets.select(F.col("v").alias(c), F.col("n").alias(f"{c}_n"), F.col("bits").alias(f"{c}_bits"))
-    stars = stars.join(sides("y"), "y").join(sides("x"), "x")
-    stars = cut(map_batches(stars.select("y", "x", "may", "y_n", "x_n", "y_bits", "x_bits"), _bound, {"y": "long", "x": "long", "may": "int"}))
-    linked = _verify(read, stars.filter("may = 1").select("y", "x"))
+    open_ = stars.filter("may = 1").join(sides("y"), "y").join(sides("x"), "x")
+    open_ = cut(map_batches(open_.select("y", "x", "may", "y_n", "x_n", "y_bits", "x_bits"), _bound, {"y": "long", "x": "long", "may": "int"}).filter("may = 1"))
+    linked = _verify(read, open_.select("y", "x"))
     edges = linked.filter("linked").select(F.col("y").alias("a"), F.col("x").alias("b"))
     joined = components(edges)
     more = cut(_leftover(stars, linked, sets, joined))
