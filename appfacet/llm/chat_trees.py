@@ -33,30 +33,27 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def _reach(nodes: DataFrame) -> list[DataFrame]:
-    """Tables of (tree, node, up, total, steps), each reaching twice as far as the one before."""
+def _reach(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(tree, node, total, steps) of the ways to the roots, and per round the messages that
+    aren't there yet, as (tree, node, up, total, steps), each reaching twice as far.
+
+    Only these are joined again, so that a round costs what the longer paths still need.
+    """
     parents = nodes.select(F.col("tree").alias("p_tree"), F.col("node").alias("p_node"))
     there = F.col("tree").eqNullSafe(F.col("p_tree")) & (F.col("parent") == F.col("p_node"))
-    tables = [cut(nodes.join(parents, there, "left").select("tree", "node", F.col("p_node").alias("up"), F.col("score").alias("total"), F.lit(1).cast("long").alias("steps")))]
-    rounds = max(1, nodes.count()).bit_length()  # beyond that only cycles go on
-    for _ in range(rounds):
-        table = tables[-1]
-        if table.filter("up IS NOT NULL").isEmpty():
+    state = cut(nodes.join(parents, there, "left").select("tree", "node", F.col("p_node").alias("up"), F.col("score").alias("total"), F.lit(1).cast("long").alias("steps")))
+    rounds = []
+    for _ in range(max(1, nodes.count()).bit_length() + 1):  # beyond that only cycles go on
+        below = state.filter("up IS NOT NULL")
+        if below.isEmpty():
             break
-        far = table.select(*(F.col(c).alias(f"far_{c}") for c in table.columns))
+        rounds.append(below)
+        far = state.select(*(F.col(c).alias(f"far_{c}") for c in state.columns))
         on = F.col("tree").eqNullSafe(F.col("far_tree")) & (F.col("up") == F.col("far_node"))
-        tables.append(
-            cut(
-                table.join(far, on, "left").select(
-                    "tree",
-                    "node",
-                    F.col("far_up").alias("up"),
-                    (F.col("total") + F.coalesce("far_total", F.lit(0.0))).alias("total"),
-                    (F.col("steps") + F.coalesce("far_steps", F.lit(0))).alias("steps"),
-                )
-            )
-        )
-    return tables
+        total, steps = F.col("total") + F.col("far_total"), F.col("steps") + F.col("far_steps")
+        further = below.join(far, on).select("tree", "node", F.col("far_up").alias("up"), total.alias("total"), steps.alias("steps"))
+        state = cut(state.filter("up IS NULL").unionByName(further))
+    return state.filter("up IS NULL").drop("up"), rounds
 
 
 def reply_paths(messages: DataFrame, best: int = 1) -> DataFrame:
@@ -67,18 +64,18 @@ def reply_paths(messages: DataFrame, best: int = 1) -> DataFrame:
     nodes = messages.select("tree", "node", "parent", "role", "text", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     first = F.min_by(F.struct("parent", "role", "text", "score"), F.struct("parent", "role", "text", "score"))
     nodes = cut(nodes.filter("node IS NOT NULL").groupBy("tree", "node").agg(first.alias("m")).select("tree", "node", "m.*"))
-    tables = _reach(nodes)
+    done, rounds = _reach(nodes)
     inner = nodes.select(F.col("tree").alias("c_tree"), F.col("parent").alias("c_parent")).filter("c_parent IS NOT NULL").distinct()
     is_parent = F.col("tree").eqNullSafe(F.col("c_tree")) & (F.col("node") == F.col("c_parent"))
-    leaves = tables[-1].filter("up IS NULL").join(inner, is_parent, "left_anti")
+    leaves = done.join(inner, is_parent, "left_anti")
     order = [F.desc("total"), F.asc("node")]
     some = Window.partitionBy("tree", F.pmod(F.xxhash64("node"), F.lit(SALTS))).orderBy(*order)
     rank = Window.partitionBy("tree").orderBy(*order)
     leaves = leaves.withColumn("r", F.row_number().over(some)).filter(F.col("r") <= best)
     leaves = leaves.withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= best)
     paths = leaves.select("tree", F.col("node").alias("leaf"), "node", "steps", F.lit(0).cast("long").alias("back"))
-    for k, table in enumerate(tables):
-        up = table.filter("up IS NOT NULL").select(F.col("tree").alias("u_tree"), F.col("node").alias("u_node"), "up")
+    for k, below in enumerate(rounds):
+        up = below.select(F.col("tree").alias("u_tree"), F.col("node").alias("u_node"), "up")
         on = F.col("tree").eqNullSafe(F.col("u_tree")) & (F.col("node") == F.col("u_node"))
         step = paths.join(up, on).select("tree", "leaf", F.col("up").alias("node"), "steps", (F.col("back") + F.lit(1 << k)).alias("back"))
         paths = cut(paths.unionByName(step))
