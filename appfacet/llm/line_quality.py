@@ -21,21 +21,21 @@ from appfacet.llm.common import cut, free_name, hash64, map_batches, rewrite_tex
 
 WHITE = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
-_DIGITS = str.maketrans("0123456789", "0000000000")
+_DIGITS = bytes.maketrans(b"0123456789", b"0000000000")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _STATS = {"row_key": "long", "doc_id": "long", "host": "string", **dict.fromkeys(COUNTS, "long"), "line_hash": "array<long>", "line_words": "array<int>"}
 SALTS = 8
 
 
-def normal_words(line: str) -> list[bytes]:
-    """Words of a line in lower case, with digits as 0."""
-    return line.lower().translate(_DIGITS).encode().split()
+def normal_lines(text: str) -> list[list[bytes]]:
+    """Words of each line in lower case, with digits as 0."""
+    return [line.split() for line in text.lower().encode().translate(_DIGITS).split(b"\n")]
 
 
-def line_key(line: str) -> int | None:
-    """Signed hash of the normalised line; None without words."""
-    words = normal_words(line)
-    return int(np.uint64(hash64(b" ".join(words))).astype(np.int64)) if words else None
+def line_key(words: list[bytes]) -> int:
+    """Signed hash of a normalised line."""
+    key = hash64(b" ".join(words))
+    return key - (1 << 64) if key >> 63 else key
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -78,9 +78,10 @@ def _stats(batches):
             for name, value in zip(COUNTS, text_counts(text), strict=True):
                 out[name].append(value)
             lines: dict[int, int] = {}
-            for line in (text or "").split("\n"):
-                if (key := line_key(line)) is not None:
-                    lines[key] = lines.get(key, 0) + len(words_of(line))
+            for words in normal_lines(text or ""):
+                if words:
+                    key = line_key(words)
+                    lines[key] = lines.get(key, 0) + len(words)
             out["line_hash"].append(list(lines))
             out["line_words"].append(list(lines.values()))
         yield out
@@ -132,7 +133,8 @@ def without_lines(text: str | None, gone: list[int] | None) -> str | None:
     if not gone:
         return text
     gone = set(gone)
-    return "\n".join(line for line in text.split("\n") if line_key(line) not in gone)
+    lines = zip(text.split("\n"), normal_lines(text), strict=True)
+    return "\n".join(line for line, words in lines if not words or line_key(words) not in gone)
 
 
 def accepted(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
