@@ -183,13 +183,17 @@ def test_blocks_find_all_pairs_within_distance():
     sims = np.concatenate([base] + [base ^ (np.int64(1) << rng.integers(0, 63, 40)) ^ (np.int64(1) << rng.integers(0, 63, 40)) ^ (np.int64(1) << rng.integers(0, 63, 40)) for _ in range(4)])
     ids = np.arange(len(sims))
     want = {(i, j) for i, j in combinations(ids.tolist(), 2) if np.bitwise_count(sims[i : i + 1].view(np.uint64) ^ sims[j : j + 1].view(np.uint64))[0] <= 3}
-    got = set()
+    got, least = set(), set()
     for k in range(4):
         key = (k << 16) + ((sims.view(np.uint64) >> np.uint64(16 * k)) & np.uint64(65535)).astype(np.int64)
         order = np.argsort(key, kind="stable")
-        for pairs in fuzzy_lines._near([{"key": key[order], "line": ids[order], "sim": sims[order]}]):
+        rows = {"key": key[order], "line": ids[order], "sim": sims[order]}
+        for pairs in fuzzy_lines._near([rows | {"component": ids[order]}]):
             got |= set(zip(pairs["a"].tolist(), pairs["b"].tolist(), strict=True))
+        for pairs in fuzzy_lines._near([rows]):
+            least |= set(zip(pairs["a"].tolist(), pairs["b"].tolist(), strict=True))
     assert got == want and want
+    assert least <= want and {i for p in least for i in p} == {i for p in want for i in p}
 
 
 def brute_topk(vectors, k, every):
