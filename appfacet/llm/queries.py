@@ -102,7 +102,7 @@ def op6_credential_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents"))
+    kept = fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents"), by="edits")
     return kept.select("doc_id", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
