@@ -2,10 +2,10 @@
 
 Lines are normalised (lower case, digits to 0, single spaces) and hashed. A host's line
 is frequent when it is carried by more than `min_documents` and more than `share` of the
-host's distinct documents. Copies and near copies are one document here: a document is
-told apart by the smallest hash of its lines, which copies have in common, so that a
-large group of copies doesn't make its own text look like boilerplate. Frequent lines are
-removed; a document that keeps less than `min_left` of its words is depleted and rejected.
+host's distinct documents, or by more than `most_documents` of them. Documents are told
+apart by a hash of all their normalised lines, so that a large group of copies, also of
+copies with other digits or spaces, is one document; near copies with other words are
+several, as pages with common boilerplate are. Frequent lines are removed; a document that keeps less than `min_left` of its words is depleted and rejected.
 
 Defined results: a null or empty text has zero counts and fails the base rule; a null
 host is a host of its own; repeated rows each get a row; an empty table gives no rows.
@@ -23,8 +23,10 @@ WHITE = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 _DIGITS = bytes.maketrans(b"0123456789", b"0000000000")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-_STATS = {"row_key": "long", "doc_id": "long", "host": "string", **dict.fromkeys(COUNTS, "long"), "line_hash": "array<long>", "line_words": "array<int>"}
+_STATS = {"row_key": "long", "doc_id": "long", "host": "string", "content": "long", **dict.fromkeys(COUNTS, "long"), "line_hash": "array<long>", "line_words": "array<int>"}
 SALTS = 8
+#: a line on more distinct documents of a host is frequent, however large the host is
+MOST_DOCUMENTS = 1000
 
 
 def normal_lines(text: str) -> list[list[bytes]]:
@@ -78,10 +80,12 @@ def _stats(batches):
             for name, value in zip(COUNTS, text_counts(text), strict=True):
                 out[name].append(value)
             lines: dict[int, int] = {}
+            content = []
             for words in normal_lines(text or ""):
                 if words:
-                    key = line_key(words)
+                    content.append(key := line_key(words))
                     lines[key] = lines.get(key, 0) + len(words)
+            out["content"].append(line_key([np.array(content, np.int64).tobytes()]))
             out["line_hash"].append(list(lines))
             out["line_words"].append(list(lines.values()))
         yield out
@@ -92,22 +96,25 @@ def row_key(host: str) -> Column:
     return F.xxhash64("doc_id", F.col(host), "text")
 
 
-def frequent_lines(stats: DataFrame, min_documents: int, share: float) -> DataFrame:
+def frequent_lines(stats: DataFrame, min_documents: int, share: float, most_documents: int) -> DataFrame:
     """(host, line): lines above the limits, `stats` as made below."""
-    lines = stats.select("host", F.array_min("line_hash").alias("family"), F.explode("line_hash").alias("line"))
+    lines = stats.select("host", "content", F.explode("line_hash").alias("line"))
     carriers = lines.distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
-    hosts = stats.select("host", F.array_min("line_hash").alias("family")).distinct().groupBy("host").agg(F.count("*").alias("of"))
+    hosts = stats.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("of"))
     # the totals of the hosts meet only lines that are above the fixed limit
     some = carriers.filter(F.col("n") > min_documents)
-    return some.join(hosts, some.host.eqNullSafe(hosts.host)).filter(F.col("n") > F.lit(share) * F.col("of")).select(some.host, "line")
+    often = (F.col("n") > F.lit(share) * F.col("of")) | (F.col("n") > most_documents)
+    return some.join(hosts, some.host.eqNullSafe(hosts.host)).filter(often).select(some.host, "line")
 
 
-def line_quality(docs: DataFrame, host: str = "source", min_documents: int = 30, share: float = 0.01, min_left: float = 0.3) -> DataFrame:
+def line_quality(
+    docs: DataFrame, host: str = "source", min_documents: int = 30, share: float = 0.01, min_left: float = 0.3, most_documents: int = MOST_DOCUMENTS
+) -> DataFrame:
     """Per row of `docs`: doc_id, the counts, base_failed, kept, left_words, and removed_lines
     (hashes of frequent lines in the text, null without any)."""
     read = docs.select(row_key(host).alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"), "text")
     stats = cut(map_batches(read, _stats, _STATS).withColumn("row", F.monotonically_increasing_id()))
-    frequent = frequent_lines(stats, min_documents, share).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    frequent = frequent_lines(stats, min_documents, share, most_documents).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     lines = stats.select("row", F.col("host").alias("of_host"), F.explode(F.arrays_zip("line_hash", "line_words")).alias("at"))
     lines = lines.select("row", "of_host", F.col("at.line_hash").alias("hash"), F.col("at.line_words").alias("words"), (F.col("row") % SALTS).cast("int").alias("part"))
     hit = lines.join(frequent, (F.col("hash") == F.col("line")) & F.col("of_host").eqNullSafe(F.col("host")) & (F.col("part") == F.col("salt")))
@@ -115,7 +122,7 @@ def line_quality(docs: DataFrame, host: str = "source", min_documents: int = 30,
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     left = F.col("n_words") - F.coalesce("gone", F.lit(0))
     return (
-        stats.drop("line_hash", "line_words", "host")
+        stats.drop("line_hash", "line_words", "host", "content")
         .join(removed, "row", "left")
         .select(
             "doc_id",
