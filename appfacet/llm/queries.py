@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appfacet.llm import chat_trees, credential_links, fuzzy_lines, histogram_packing, line_quality, ngram_join, norm_topk, token_prefix, toxic_segments, weight_tree
+from appfacet.llm import chat_trees, credential_links, fuzzy_lines, histogram_packing, line_quality, ngram_join, norm_topk, token_prefix, toxic_segments, weight_tree, word_runs
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -170,6 +170,35 @@ WITH {mix_sql("documents", MIX_PERCENT, MIX_EPOCHS, MIX_SEED)}
 SELECT doc_id, domain, lang, source, n_tokens, CAST(unnest(range(CAST(times AS BIGINT))) AS INTEGER) AS epoch FROM taken
 """
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth document, by checksum, repeats its words from some word on."""
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    words = F.expr("regexp_extract_all(text, '[^\\\\x20\\\\x09-\\\\x0D]+', 0)")
+    chosen = docs.select("doc_id", "text", F.when(checksum % 10 == 0, words).alias("words"), F.floor(checksum / 10).alias("g"))
+    n = F.size("words")
+    start = chosen.withColumn("a", F.when(n > 0, F.pmod(F.col("g"), n)))
+    period = start.withColumn("p", F.when(n > 0, 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))))
+    repeated = F.expr("array_join(transform(words, (w, i) -> IF(i < a, w, words[CAST(a + (i - a) % p AS INT)])), ' ')")
+    return period.select("doc_id", F.when(F.col("p").isNotNull(), repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = word_runs.collapse_runs(with_planted_runs(docs))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    # runs come by start, then period; of runs with equal exponents the first one is taken
+    best = F.expr("""aggregate(runs, CAST(NULL AS STRUCT<start: BIGINT, length: BIGINT, period: BIGINT>),
+        (best, r) -> IF(best IS NULL OR r.length * best.period > best.length * r.period, r, best))""")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")),
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_chat_trees": op2_chat_trees,
@@ -181,5 +210,6 @@ QUERIES = {
     "op8_toxic_segments": op8_toxic_segments,
     "op9_histogram_packing": op9_histogram_packing,
     "op10_weight_tree": op10_weight_tree,
+    "op11_word_runs": op11_word_runs,
 }
 ORACLE = {"op2_chat_trees": OP2_SQL, "op4_norm_topk": OP4_SQL, "op10_weight_tree": OP10_SQL}
