@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appfacet.llm import chat_trees, credential_links, fuzzy_lines, histogram_packing, line_quality, ngram_join, norm_topk, token_prefix, toxic_segments, weight_tree, word_runs
+from appfacet.llm import chat_trees, credential_links, fuzzy_lines, histogram_packing, line_quality, ngram_join, norm_topk, token_prefix, toxic_segments, turn_repair, weight_tree, word_runs
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -199,6 +199,97 @@ def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged_turns(conversations: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text), with turns dropped, emptied, cut, repeated and renamed by checksum."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    damage = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn"))) % 20
+    rows = conversations.select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), space("role").alias("role"), space("text").alias("text"), damage.alias("damage")
+    ).filter("damage <> 0")
+    text = F.when(F.col("damage") == 1, "").when(F.col("damage") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("damage") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.sequence(F.lit(1), F.when(F.col("damage") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    turns = turn_repair.numbered_turns(damaged_turns(conversations))
+    edited = turn_repair.cut(turn_repair.edited_turns(turns))
+    letters = F.concat(F.expr("repeat('I', length(before))"), "edit", F.expr("repeat('D', CAST(n - 1 AS INT))"), F.expr("repeat('I', length(ending))"))
+    audits = edited.groupBy(F.col("conv_id").alias("a_id")).agg(
+        F.max("cost").alias("cost"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", letters.alias("letters")))), lambda x: x.letters), "").alias("audit")
+    )
+    line = F.concat("role", F.lit(":"), "text")
+    lines = F.array_sort(F.collect_list(F.struct("id", "place", line.alias("line"))))
+    repaired = turn_repair.repaired_turns(edited).groupBy(F.col("conv_id").alias("r_id")).agg(F.sha2(F.array_join(F.transform(lines, lambda x: x.line), "\n"), 256).alias("repaired_sha256"))
+    counts = turn_repair.repair_counts(turns).withColumnRenamed("conv_id", "n_id")
+    out = conversations.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    for side, key in ((counts, "n_id"), (audits, "a_id"), (repaired, "r_id")):
+        out = out.join(side, F.col("conv_id").eqNullSafe(F.col(key)), "left").drop(key)
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    empty = F.sha2(F.lit(""), 256)
+    return out.select("conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers), F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", empty).alias("repaired_sha256"))
+
+
+_CRC32_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda c: ord(c)::BIGINT)),
+  lambda r, b: list_reduce(list_prepend(xor(r, b), range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+def _edited_sql(state: str, cost: str, letter: str, line: str) -> str:
+    """A state's best way {c, a, l} with one more edit."""
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'l': {state}.l || {line}}} END"
+
+
+def _inserted_sql(ways: str) -> str:
+    """conv_id, i and the states s0 to s3 out of the ways t0 to t3 of a subquery, with turns inserted."""
+    user = ", ".join(_edited_sql(t, "3", "I", "'user:' || chr(10)") for t in ("t0", "t1", "t3"))
+    assistant = _edited_sql("s2", "3", "I", "'assistant:' || chr(10)")
+    return f"SELECT conv_id, i, s0, s1, s2, least(t3, {assistant}) AS s3 FROM (SELECT conv_id, i, t0 AS s0, t1 AS s1, least(t2, {user}) AS s2, t3 FROM ({ways}))"
+
+
+def _turn_sql() -> str:
+    """The best ways t0 to t3 after a turn `r`, from those before it."""
+    own = "CASE WHEN r.fault = 'truncated' THEN 3 ELSE 0 END"
+    user, assistant = "'user:' || r.text || chr(10)", "'assistant:' || r.text || chr(10)"
+    kept = lambda s, kind: f"CASE WHEN r.live AND r.initial = '{kind}' THEN {_edited_sql(s, own, 'K', 'r.line || chr(10)')} END"
+    reroled = lambda s, line: f"CASE WHEN r.live THEN {_edited_sql(s, '3 + ' + own, 'R', line)} END"
+    gone = lambda s: _edited_sql(s, "4", "D", "''")
+    to_user = ", ".join(f"{kept(s, 'u')}, {reroled(s, user)}" for s in ("s0", "s1", "s3"))
+    return f"""{gone("s0")} AS t0, least({gone("s1")}, {kept("s0", "s")}) AS t1, least({gone("s2")}, {to_user}) AS t2,
+      least({gone("s3")}, {kept("s2", "a")}, {reroled("s2", assistant)}) AS t3"""
+
+
+OP12_SQL = f"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_CRC32_SQL.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS damage FROM conversations),
+d AS (
+  SELECT conv_id, turn, CASE WHEN damage = 4 THEN 'user' ELSE role END AS role,
+    CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN damage = 3 THEN 2 ELSE 1 END))
+  FROM c WHERE damage <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+n AS (
+  SELECT *, role || ':' || text AS line, substring(role, 1, 1) AS initial,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM o),
+m AS (SELECT *, fault NOT IN ('blank', 'duplicate') AS live, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM n),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND (before || initial) NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM m GROUP BY conv_id),
+way AS (
+  {_inserted_sql("SELECT conv_id, 0::BIGINT AS i, {'c': 0, 'a': '', 'l': ''} AS t0, " + ", ".join(f"CAST(NULL AS STRUCT(c INTEGER, a VARCHAR, l VARCHAR)) AS t{k}" for k in (1, 2, 3)) + " FROM counts")}
+  UNION ALL
+  {_inserted_sql(f"SELECT r.conv_id, r.i, {_turn_sql()} FROM way w JOIN m r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = w.i + 1")}),
+best AS (SELECT k.*, least(s0, s3) AS b FROM counts k JOIN way w ON k.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = k.n)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(coalesce(b.c, 0) AS BIGINT) AS cost, coalesce(b.a, '') AS audit,
+  sha256(CASE WHEN coalesce(length(b.l), 0) > 0 THEN left(b.l, length(b.l) - 1) ELSE '' END) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN best k ON o.conv_id IS NOT DISTINCT FROM k.conv_id
+"""
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_chat_trees": op2_chat_trees,
@@ -211,5 +302,6 @@ QUERIES = {
     "op9_histogram_packing": op9_histogram_packing,
     "op10_weight_tree": op10_weight_tree,
     "op11_word_runs": op11_word_runs,
+    "op12_turn_repair": op12_turn_repair,
 }
-ORACLE = {"op2_chat_trees": OP2_SQL, "op4_norm_topk": OP4_SQL, "op10_weight_tree": OP10_SQL}
+ORACLE = {"op2_chat_trees": OP2_SQL, "op4_norm_topk": OP4_SQL, "op10_weight_tree": OP10_SQL, "op12_turn_repair": OP12_SQL}
