@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appfacet.llm import chat_trees, credential_links, fuzzy_lines, histogram_packing, line_quality, ngram_join, norm_topk, token_prefix, toxic_segments, turn_repair, weight_tree, word_runs
+from appfacet.llm import chat_trees, credential_links, fuzzy_lines, histogram_packing, line_quality, ngram_join, norm_topk, token_prefix, toxic_segments, turn_repair, url_templates, weight_tree, word_runs
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -290,6 +290,68 @@ SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN best k ON o.conv_id IS NOT DISTINCT FROM k.conv_id
 """
 
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def labelled_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """(page_id, url, accepted): a page is labelled as the document whose number ends its path."""
+    number = F.expr(r"try_cast(regexp_extract(split_part(split_part(url, '?', 1), '#', 1), '/([0-9]+)(?:[.]html)?/?$', 1) AS BIGINT)")
+    good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
+    marks = labels.filter("quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(good).alias("accepted"))
+    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", number.alias("number"))
+    return pages.join(marks, F.col("number") == F.col("doc_id"), "left").select("page_id", "url", "accepted")
+
+
+def op13_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = labelled_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return url_templates.judge_urls(pages, URL_RULES).drop("url")
+
+
+_ESCAPED_SEGMENT = r"regexp_replace(segment, '([\\|*{}])', '\\\1', 'g')"
+
+
+def _level_sql(level: int) -> str:
+    """Templates t{level + 1} out of t{level}, as common table expressions."""
+    k = level
+    differ = f"""power(bad::DOUBLE * good_0 - bad_0 * good::DOUBLE, 2) * (good::DOUBLE + bad + good_0 + bad_0)
+      > {url_templates.DIFFERENT} * (good::DOUBLE + bad) * (good_0 + bad_0) * (good + good_0) * (bad + bad_0)"""
+    return f"""
+s{k} AS (SELECT host, template, segments[{k + 1}] AS segment, sum(n) AS n, sum(good) AS good, sum(bad) AS bad FROM t{k} WHERE len(segments) > {k} GROUP BY ALL),
+v{k} AS (SELECT *, sum(n) OVER (PARTITION BY host, template) AS all_n FROM s{k}),
+f{k} AS (SELECT host, template, CASE WHEN n >= {url_templates.LEAST_ROWS} AND n * {url_templates.MOST_BRANCHES} >= all_n THEN segment END AS segment,
+  sum(good) AS good, sum(bad) AS bad FROM v{k} GROUP BY ALL),
+o{k} AS (SELECT *, row_number() OVER (PARTITION BY host, template ORDER BY (bad + 1.0::DOUBLE) / (good + bad + 2.0::DOUBLE), segment NULLS FIRST) AS i FROM f{k}),
+l{k} AS (SELECT *, lag(good::DOUBLE) OVER (PARTITION BY host, template ORDER BY i) AS good_0, lag(bad::DOUBLE) OVER (PARTITION BY host, template ORDER BY i) AS bad_0 FROM o{k}),
+g{k} AS (SELECT *, sum(CASE WHEN {differ} THEN 1 ELSE 0 END) OVER (PARTITION BY host, template ORDER BY i) AS grp FROM l{k}),
+m{k} AS (SELECT host, template, unnest(list(segment)) AS segment, CASE WHEN bool_or(segment IS NULL) THEN '*' WHEN count(*) > 1
+    THEN '{{' || string_agg({_ESCAPED_SEGMENT}, '|' ORDER BY {_ESCAPED_SEGMENT}) || '}}'
+    ELSE any_value({_ESCAPED_SEGMENT}) END AS branch FROM g{k} GROUP BY host, template, grp),
+t{k + 1} AS (SELECT t.* REPLACE (CASE WHEN len(segments) > {k} THEN t.template || '/' || coalesce(branch, '*') ELSE t.template END AS template)
+  FROM t{k} t LEFT JOIN m{k} m ON t.host = m.host AND t.template = m.template AND t.segments[{k + 1}] = m.segment)"""
+
+
+_URL_RULES_SQL = "VALUES " + ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+OP13_SQL = f"""
+WITH r(verdict, host, path) AS ({_URL_RULES_SQL}),
+u AS (SELECT CAST(page_id AS BIGINT) AS page_id, url, CASE WHEN contains(url, '://') THEN substring(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+w AS (SELECT page_id, url, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+  coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+  TRY_CAST(regexp_extract(split_part(split_part(url, '?', 1), '#', 1), '/([0-9]+)(?:[.]html)?/?$', 1) AS BIGINT) AS number FROM u),
+k AS (SELECT doc_id, min(quality = 1 AND coalesce(toxic, 0) = 0) AS accepted FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+p AS (SELECT w.*, accepted FROM w LEFT JOIN k ON w.number = k.doc_id),
+t0 AS (SELECT host, path, list_filter(string_split(path, '/'), lambda s: s <> '') AS segments, '' AS template, count(*) AS n,
+  count(*) FILTER (accepted) AS good, count(*) FILTER (NOT accepted) AS bad FROM p GROUP BY host, path),
+{",".join(_level_sql(k) for k in range(url_templates.DEPTH))},
+t AS (SELECT host, path, template || CASE WHEN len(segments) > {url_templates.DEPTH} THEN '/**' ELSE '' END AS template, good, bad FROM t{url_templates.DEPTH}),
+a AS (SELECT host, template, sum(good) AS good, sum(bad) AS bad FROM t GROUP BY ALL),
+h AS (SELECT host, (sum(good) + (SELECT (sum(good) + 1.0::DOUBLE) / (sum(good) + sum(bad) + 2.0::DOUBLE) FROM a) * {url_templates.SMOOTHING}) / (sum(good) + sum(bad) + {url_templates.SMOOTHING}::DOUBLE) AS share FROM a GROUP BY host),
+y AS (SELECT a.host, template, (good + share * {url_templates.SMOOTHING}) / (good + bad + {url_templates.SMOOTHING}::DOUBLE) AS purity FROM a JOIN h USING (host))
+SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, CASE WHEN purity < {url_templates.LEAST_PURITY} THEN 'block' ELSE 'allow' END) AS verdict, t.template
+FROM p JOIN t ON p.host = t.host AND p.path = t.path JOIN y ON t.host = y.host AND t.template = y.template
+LEFT JOIN LATERAL (SELECT arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict FROM r
+  WHERE (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)) b ON true
+"""
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_chat_trees": op2_chat_trees,
@@ -303,5 +365,6 @@ QUERIES = {
     "op10_weight_tree": op10_weight_tree,
     "op11_word_runs": op11_word_runs,
     "op12_turn_repair": op12_turn_repair,
+    "op13_url_templates": op13_url_templates,
 }
-ORACLE = {"op2_chat_trees": OP2_SQL, "op4_norm_topk": OP4_SQL, "op10_weight_tree": OP10_SQL, "op12_turn_repair": OP12_SQL}
+ORACLE = {"op2_chat_trees": OP2_SQL, "op4_norm_topk": OP4_SQL, "op10_weight_tree": OP10_SQL, "op12_turn_repair": OP12_SQL, "op13_url_templates": OP13_SQL}
