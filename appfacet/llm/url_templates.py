@@ -64,10 +64,16 @@ def _branches(paths: DataFrame, level: int) -> DataFrame:
     """(host, template, segment, branch): the values of a level that have a branch besides the wildcard."""
     sums = [F.sum(c).alias(c) for c in ("n", "good", "bad")]
     values = paths.groupBy("host", "template", F.get("segments", F.lit(level)).alias("segment")).agg(*sums)
-    nodes = values.groupBy(F.col("host").alias("n_host"), F.col("template").alias("n_template")).agg(F.sum("n").alias("all_n"))
-    sized = values.join(nodes, (F.col("host") == F.col("n_host")) & (F.col("template") == F.col("n_template")))
-    often = (F.col("n") >= LEAST_ROWS) & (F.col("n") * MOST_BRANCHES >= F.col("all_n"))
-    found = sized.groupBy("host", "template", F.when(often, F.col("segment")).alias("segment")).agg(*sums)
+    nodes = values.groupBy(F.col("host").alias("n_host"), F.col("template").alias("n_template")).agg(*(F.sum(c).alias(f"all_{c}") for c in ("n", "good", "bad")))
+    same = (F.col("host") == F.col("n_host")) & (F.col("template") == F.col("n_template"))
+    # few values remain of each node; written out, so that the join of a large node can be split
+    often = values.filter(F.col("n") >= LEAST_ROWS).join(nodes, same).filter(F.col("n") * MOST_BRANCHES >= F.col("all_n"))
+    often = cut(often.select("host", "template", "segment", "n", "good", "bad"))
+    sums = often.groupBy("host", "template").agg(*(F.sum(c).alias(c) for c in ("n", "good", "bad")))
+    others = nodes.join(sums, same, "left").filter(F.col("all_n") > F.coalesce("n", F.lit(0)))
+    left = lambda c: (F.col(f"all_{c}") - F.coalesce(c, F.lit(0))).alias(c)
+    wild = others.select(F.col("n_host").alias("host"), F.col("n_template").alias("template"), F.lit(None).cast("string").alias("segment"), left("good"), left("bad"))
+    found = often.drop("n").unionByName(wild)
     node = Window.partitionBy("host", "template")
     by_share = node.orderBy((F.col("bad") + 1.0) / (F.col("good") + F.col("bad") + 2.0), F.col("segment").asc_nulls_first())
     count = lambda c: F.col(c).cast("double")
