@@ -333,3 +333,42 @@ def test_key_flow_reads_each_input_little(spark, tmp_path, table, listing):
         assert {r["bundle_id"] for r in result.valid.collect()} == {"app.1", "app.one"}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def shares_of(left, hot_rows):
+    """Rows per key and share, as they reach a join that isn't a broadcast one."""
+    from appfacet.operators import spread
+
+    key = F.col("k")
+    shared = spread.with_share(left, key, spread.hot_keys(left, key, hot_rows), hot_rows)
+    return {(r["k"], r["__share"]): r["count"] for r in shared.groupBy("k", "__share").count().collect()}
+
+
+def test_no_share_holds_more_than_the_hot_rows(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(0, 20000, 1, 8).selectExpr("IF(id % 10 = 0, concat('k', id % 7), 'hot') k", "id")
+        right = spark.sql("SELECT 'hot' k, 1 w UNION ALL SELECT 'k3', 2 UNION ALL SELECT 'hot', 3")
+        shares = shares_of(left, 2000)
+        assert max(shares.values()) <= 2000 and sum(shares.values()) == 20000
+        assert len([1 for k, _ in shares if k == "hot"]) > 9
+        for how in ("left", "inner", "left_semi", "left_anti"):
+            assert rows_of(spread_join(left, right, "k", how, 2000)) == rows_of(left.join(right, "k", how))
+        alike = spark.range(0, 20000, 1, 40).selectExpr("'hot' k")  # equal rows spread by their partitions
+        assert max(shares_of(alike, 4000).values()) <= 6000
+        assert "SortMergeJoin" in plan(spread_join(left, right, "k", "left", 2000))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_keys_of_empty_null_and_mixed_keys(spark):
+    right = spark.range(5).selectExpr("id AS k", "id * 10 AS w")
+    for left in (
+        spark.range(50).selectExpr("CAST(id % 2 AS INT) k", "id"),
+        spark.range(50).selectExpr("CAST(NULL AS INT) k", "id"),
+        spark.range(0).selectExpr("CAST(id AS SHORT) k", "id"),
+    ):
+        assert rows_of(spread_join(left, right, "k", "left", 5)) == rows_of(left.join(right, "k", "left"))
+    listed = spark.range(50).selectExpr("array(id % 2) k", "id", "map(id, id) m").drop("m")
+    other = spark.range(5).selectExpr("array(id) k", "id AS w")
+    assert rows_of(spread_join(listed, other, "k", "left", 5)) == rows_of(listed.join(other, "k", "left"))
