@@ -17,6 +17,7 @@ from .operators.facets import (
 from .operators.impute import impute_listing_metrics
 from .operators.lookup import hydrate, map_supplement
 from .operators.spread import attach_features
+from .operators.tagging import genre_table_categories, tag_with_rule_table, with_table_categories
 from .operators.validity import split_valid
 from .plans.enrich import EnrichResult, enrich_keys, enrich_listings
 from .sources.rules import CategoryRules, default_rules, rules_from_document, rules_from_frame
@@ -32,6 +33,7 @@ __all__ = [
     "enrich_keys",
     "enrich_listings",
     "genre_categories",
+    "genre_table_categories",
     "hydrate",
     "impute_listing_metrics",
     "install_features",
@@ -43,5 +45,7 @@ __all__ = [
     "score_features",
     "split_valid",
     "summary_categories",
+    "tag_with_rule_table",
     "with_categories",
+    "with_table_categories",
 ]

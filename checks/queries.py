@@ -55,6 +55,7 @@ from .records import (
     key_table,
     listing_source,
     quoted,
+    rules_sql,
     spark_pick,
     spread_table,
     table,
@@ -365,6 +366,56 @@ def custom_terms_in_conversations(spark, sf):
     return tagged.select("conv_id", "turn", joined_labels(F.col("found")).alias("labels"))
 
 
+# --- rules that stay a table ------------------------------------------------
+def _rule_frame(spark, sf):
+    sql = rules_sql("split", 0, FREQUENT).replace("FROM benchmark", "FROM {benchmark}")
+    return spark.sql(sql, benchmark=table(spark, sf, "benchmark"))
+
+
+def _table_tags_sql(source, key):
+    """Every text against every rule."""
+    return f"""WITH rules AS ({rules_sql('string_split', 1, FREQUENT)}),
+        literals AS (SELECT category, CASE WHEN mode = 'word' THEN ' ' || {o.strip('term')} || ' ' ELSE {o.strip('term')} END AS literal FROM rules),
+        texts AS (SELECT {key}, {o.padded('text')} AS t FROM {source}),
+        found AS (SELECT {key}, string_agg(DISTINCT category, ',' ORDER BY category) AS labels
+            FROM texts JOIN literals ON contains(t, literal) GROUP BY ALL)
+        SELECT x.*, coalesce(labels, '') AS labels FROM (SELECT {key} FROM {source}) x LEFT JOIN found USING ({key})"""
+
+
+@query(_table_tags_sql("documents", "doc_id"))
+def rule_table_tags(spark, sf):
+    tagged = af.tag_with_rule_table(spread_table(spark, sf, "documents"), "text", _rule_frame(spark, sf))
+    return tagged.select("doc_id", F.array_join("labels", ",").alias("labels"))
+
+
+@query(_table_tags_sql("conversations", "conv_id, turn"))
+def rule_table_tags_of_turns(spark, sf):
+    """With frequent words split over several tasks."""
+    tagged = af.tag_with_rule_table(
+        table(spark, sf, "conversations"), "text", _rule_frame(spark, sf), hot_rows=100
+    )
+    return tagged.select("conv_id", "turn", F.array_join("labels", ",").alias("labels"))
+
+
+@query(_phase_labels("app_records", 0))
+def genre_table_categories(spark, sf):
+    rules = af.default_rules().to_frame(spark)
+    mapping = rules.where("phase = 'genre'").select(F.col("term").alias("genre"), "category")
+    tagged = af.genre_table_categories(app_records(spark, sf), mapping)
+    return tagged.select("bundle_id", joined_labels(F.col("categories")).alias("labels"))
+
+
+@query(
+    "SELECT bundle_id, "
+    + o.labels({c: " OR ".join(o.hits(c)) for c in af.default_rules().categories})
+    + f" AS labels FROM {o.phased('app_records')}"
+)
+def rule_table_categories(spark, sf):
+    """The union of all phases with the default rules as a table."""
+    tagged = af.with_table_categories(app_records(spark, sf), af.default_rules().to_frame(spark))
+    return tagged.select("bundle_id", joined_labels(F.col("categories")).alias("labels"))
+
+
 @query(f"SELECT bundle_id, {o.aliased(o.category_flags())} FROM {o.phased('app_records')}")
 def category_flags(spark, sf):
     return af.category_features(app_records(spark, sf))

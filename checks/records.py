@@ -167,6 +167,29 @@ def source_columns(e: dict) -> dict[str, str]:
     }
 
 
+RULE_TERMS = (
+    "tokens[{0}]",
+    "tokens[{1}] || ' ' || tokens[{2}]",
+    "substring(tokens[{3}], 2, 4)",
+    "tokens[{4}] || ' ' || tokens[{5}] || ' ' || tokens[{6}]",
+    "tokens[{7}]",
+)
+RULE_MODES = ("word", "substring", "substring", "substring", "word")
+
+
+def rules_sql(split: str, first: int, frequent: dict[str, list[tuple[str, str]]]) -> str:
+    """A rule table (category, mode, term) of the benchmark items' own terms and of very frequent ones."""
+    own = " UNION ALL ".join(
+        f"SELECT 'item' || CAST(item_id % 7 AS STRING) AS category, '{mode}' AS mode, {term.format(*range(first, first + 8))} AS term "
+        f"FROM (SELECT item_id, {split}(lower(text), ' ') AS tokens FROM benchmark) WHERE length({term.format(*range(first, first + 8))}) > 2"
+        for mode, term in zip(RULE_MODES, RULE_TERMS, strict=True)
+    )
+    also = " UNION ALL ".join(
+        f"SELECT '{name}', '{mode}', '{term}'" for name, found in frequent.items() for term, mode in found
+    )
+    return f"{own} UNION ALL {also}"
+
+
 # --- Spark -----------------------------------------------------------------
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
