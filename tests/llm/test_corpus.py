@@ -113,55 +113,64 @@ def test_id_filters_hold_all_their_ids(spark):
     assert graph.passes(bits, others).mean() < 0.05
 
 
-def levenshtein(a, b):
-    row = list(range(len(b) + 1))
+LETTERS = str.maketrans("0123456789", "bdfhjkmpqz")
+
+
+def within_edits(a, b, most):
+    """Whether a and b are within `most` edits, by the band of the table that can tell."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    row = {j: j for j in range(min(len(b), most) + 1)}
     for i, x in enumerate(a, 1):
-        before, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
-    return row[-1]
+        new = {}
+        for j in range(max(0, i - most), min(len(b), i + most) + 1):
+            ways = [row.get(j, most + 1) + 1, new.get(j - 1, most + 1) + 1]
+            if j:
+                ways.append(row.get(j - 1, most + 1) + (x != b[j - 1]))
+            new[j] = i if not j else min(ways)
+        if min(new.values()) > most:
+            return False
+        row = new
+    return row.get(len(b), most + 1) <= most
 
 
 def brute_lines(rows):
-    """(doc, text) after dedup, by all pairs of distinct lines."""
+    """(doc, text) after dedup, by the edit similarity of all pairs of distinct lines."""
     first, words = {}, {}
+    place = lambda doc: (doc is not None, doc or 0)
     for doc_id, text in rows:
-        for _, key, w in fuzzy_lines.long_lines(text):
+        for key, w in fuzzy_lines.worded_lines(text):
             words[key] = w
-            first[key] = min(first.get(key, doc_id), doc_id)
+            first[key] = min(first.get(key, doc_id), doc_id, key=place)
     keys = sorted(words)
-    sims = dict(zip(keys, fuzzy_lines.simhashes([words[k] for k in keys]).tolist(), strict=True))
-    links = []
-    for a, b in combinations(keys, 2):
-        if bin((sims[a] ^ sims[b]) & (2**64 - 1)).count("1") <= 3:
-            x, y = (b" ".join(words[k]).decode() for k in (a, b))
-            if levenshtein(x, y) <= int(max(len(x), len(y)) * 0.1):
-                links.append((a, b))
+    text = {k: b" ".join(words[k]).decode() for k in keys if len(words[k]) >= 5}
+    most = lambda a, b: int(max(len(text[a]), len(text[b])) * 0.1)
+    links = [(a, b) for a, b in combinations(sorted(text), 2) if within_edits(text[a], text[b], most(a, b))]
     group = join_components(keys, links)
     best = {}
     for k in keys:
-        best[group[k]] = min(best.get(group[k], (first[k], k)), (first[k], k))
-    stay = {(doc, k) for doc, k in best.values()}
-    out = []
-    for doc_id, text in rows:
-        out.append((doc_id, fuzzy_lines.kept_text(text, [k for d, k in stay if d == doc_id])))
-    return sorted(out, key=repr), links
+        best[group[k]] = min(best.get(group[k], k), k, key=lambda k: (place(first[k]), k))
+    stay = {}
+    for hi, lo in best.values():
+        stay.setdefault(first[hi, lo], []).append(hi.to_bytes(8, "big", signed=True) + lo.to_bytes(8, "big", signed=True))
+    return sorted(((doc_id, fuzzy_lines.kept_text(text, stay.get(doc_id))) for doc_id, text in rows), key=repr), links
 
 
 def test_fuzzy_lines_are_those_of_all_pairs(documents, prose):
     rng = random.Random(4)
-    shared = [prose(i, 40, per_line=40) for i in range(15)]
+    letters = lambda *of, **how: prose(*of, **how).translate(LETTERS)
+    shared = [letters(i, 40, per_line=40) for i in range(15)]
     rows = []
     for doc_id in range(60):
-        lines = [prose(1000 + doc_id, 12), "short line", "Page 12 of the whole long list", ""]
+        lines = [letters(1000 + doc_id, 12), "short line", "Page 12 of the whole long list", ""]
         for line in rng.sample(shared, 4):
             words = line.split(" ")
             if rng.random() < 0.6:
                 words[rng.randrange(40)] += "z"
             lines.append(" ".join(words))
         rows.append((doc_id, "\n".join(lines)))
-    rows += [(90, None), (91, ""), (92, rows[3][1]), (93, "one two three four five\n" * 3), (94, "x " * 20000)]
-    frame = documents(rows, extra=("kept", "in_doc", "line"))
+    rows += [(90, None), (91, ""), (92, rows[3][1]), (93, "one two three four five\n" * 3), (94, "x " * 20000), (None, rows[5][1]), (95, "  \n\t")]
+    frame = documents(rows, extra=("kept", "in_doc", "line", "hi", "size"))
     want, links = brute_lines(rows)
     out = fuzzy_lines.dedup_lines(frame)
     assert out.columns == frame.columns
@@ -177,23 +186,38 @@ def test_null_ids_come_first(documents):
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == [(1, ""), (2, ""), (None, line + "\nshort")]
 
 
-def test_blocks_find_all_pairs_within_distance():
+def test_blocks_meet_all_lines_within_two_bits(spark):
     rng = np.random.default_rng(8)
-    base = rng.integers(-(2**63), 2**63 - 1, 40)
-    sims = np.concatenate([base] + [base ^ (np.int64(1) << rng.integers(0, 63, 40)) ^ (np.int64(1) << rng.integers(0, 63, 40)) ^ (np.int64(1) << rng.integers(0, 63, 40)) for _ in range(4)])
-    ids = np.arange(len(sims))
-    want = {(i, j) for i, j in combinations(ids.tolist(), 2) if np.bitwise_count(sims[i : i + 1].view(np.uint64) ^ sims[j : j + 1].view(np.uint64))[0] <= 3}
-    got, least = set(), set()
-    for k in range(4):
-        key = (k << 16) + ((sims.view(np.uint64) >> np.uint64(16 * k)) & np.uint64(65535)).astype(np.int64)
-        order = np.argsort(key, kind="stable")
-        rows = {"key": key[order], "line": ids[order], "sim": sims[order]}
-        for pairs in fuzzy_lines._near([rows | {"component": ids[order]}]):
-            got |= set(zip(pairs["a"].tolist(), pairs["b"].tolist(), strict=True))
-        for pairs in fuzzy_lines._near([rows]):
-            least |= set(zip(pairs["a"].tolist(), pairs["b"].tolist(), strict=True))
-    assert got == want and want
-    assert least <= want and {i for p in least for i in p} == {i for p in want for i in p}
+    base = rng.integers(-(2**63), 2**63 - 1, (40, 2))
+    flips = np.zeros((3, 40, 2), np.int64)
+    for copy in flips:
+        for _ in range(2):
+            copy[np.arange(40), rng.integers(0, 2, 40)] ^= np.int64(1) << rng.integers(0, 64, 40)
+    sims = np.concatenate([base, *(base ^ f for f in flips)])
+    unsigned = np.ascontiguousarray(sims).view(np.uint64)
+    differ = lambda i, j: int(np.bitwise_count(unsigned[i] ^ unsigned[j]).sum())
+    want = {(i, j) for i, j in combinations(range(len(sims)), 2) if differ(i, j) <= 2}
+    keys = rng.integers(-(2**63), 2**63 - 1, (len(sims), len(fuzzy_lines.PACKED)))  # no piece in common
+    rows = [(i, 100, *map(int, sims[i]), *map(int, keys[i])) for i in range(len(sims))]
+    lines = spark.createDataFrame(rows, "line long, bytes int, sim0 long, sim1 long, " + ", ".join(f"{c} long" for c in fuzzy_lines.PACKED))
+    met = {}
+    for r in fuzzy_lines.met_lines(lines).collect():
+        met.setdefault(r.key, set()).add(r.line)
+    assert want and want <= {p for group in met.values() for p in combinations(sorted(group), 2)}
+
+
+def test_signatures_are_those_of_the_definition():
+    rng = random.Random(2)
+    lines = [bytes(rng.choice(b"abcd efg") for _ in range(n)) for n in (1, 5, 6, 7, 40, 57, 63, 70, 71, 90, 600, 3000)]
+    together = fuzzy_lines.Pieces(lines)
+    keys, sims = together.keys(), together.simhashes()
+    for i, line in enumerate(lines):
+        alone = fuzzy_lines.Pieces([line])
+        assert (alone.keys() == keys[i]).all() and (alone.simhashes() == sims[i]).all()
+        hashes = alone.hashes(False, np.array([0]))[0]
+        chosen = hashes[(hashes >> np.uint64(63) == 0) | (np.arange(len(hashes)) == 0)]
+        ones = np.unpackbits(fuzzy_lines.mix(chosen).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=int)
+        assert (np.packbits(2 * ones > len(chosen), bitorder="little").view(np.int64)[0] == sims[i][0]).all()
 
 
 def brute_topk(vectors, k, every):
@@ -348,9 +372,10 @@ def test_mix_once_keeps_columns_and_both_joins_agree(documents, prose, monkeypat
 
 def test_pipeline_stages_equal_plain_ones(spark, documents, prose, tmp_path):
     rng = random.Random(1)
-    base, rows = prose(77, 160).replace("\n", " "), []
+    letters = lambda *of: prose(*of).translate(LETTERS)
+    base, rows = letters(77, 160).replace("\n", " "), []
     for i in range(80):
-        rows.append((i, prose(i, 60 + i), rng.choice(["en", "de"]), rng.choice(["src0", "src0", "src1", "src2"])))
+        rows.append((i, letters(i, 60 + i), rng.choice(["en", "de"]), rng.choice(["src0", "src0", "src1", "src2"])))
     rows += [(100 + k, edited(base, k, 0.01), "en", "src1") for k in range(12)] + [(200 + k, rows[k][1], "en", "src2") for k in range(5)]
     rows += [(300, "too short", "en", "src1"), (301, "spam spam spam " * 40, "en", "src1"), (302, None, "en", "src0"), (303, "", "de", "src0")]
     documents(rows).write.parquet(f"{tmp_path}/documents.parquet")
