@@ -198,8 +198,8 @@ def test_blocks_meet_all_lines_within_two_bits(spark):
     differ = lambda i, j: int(np.bitwise_count(unsigned[i] ^ unsigned[j]).sum())
     want = {(i, j) for i, j in combinations(range(len(sims)), 2) if differ(i, j) <= 2}
     keys = rng.integers(-(2**63), 2**63 - 1, (len(sims), len(fuzzy_lines.PACKED)))  # no piece in common
-    rows = [(i, 100, *map(int, sims[i]), *map(int, keys[i])) for i in range(len(sims))]
-    lines = spark.createDataFrame(rows, "line long, bytes int, sim0 long, sim1 long, " + ", ".join(f"{c} long" for c in fuzzy_lines.PACKED))
+    rows = [(i, 100, 100, *map(int, sims[i]), *map(int, keys[i])) for i in range(len(sims))]
+    lines = spark.createDataFrame(rows, "line long, size int, bytes int, sim0 long, sim1 long, " + ", ".join(f"{c} long" for c in fuzzy_lines.PACKED))
     met = {}
     for r in fuzzy_lines.met_lines(lines).collect():
         met.setdefault(r.key, set()).add(r.line)
