@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import days_since, parse_release_date
 from ..functions.numbers import safe_double
 from ..functions.text import is_empty, strip
 from ..schema import KEY, REQUIRED_COLUMNS
 from .columns import add_missing, add_required, as_text, column_or, find_column
+from .reduce import keep_likely
 from .spread import spread_join
 from .validity import count_false, needs_lookup
 
 REAL_INSTALLS = "real_installs"
 SUPPLEMENT_COLUMNS = (*REQUIRED_COLUMNS, REAL_INSTALLS)
-_LOOKUP = "__lookup_key"
+_LOOKUP, _GAPS, _NTH, _OTHERS = "__lookup_key", "__gaps", "__nth", "__others"
 VALID = "__is_valid"
 
 
@@ -58,29 +59,44 @@ def map_supplement(
     return text.select(*[c.alias(name) for name, c in columns.items()])
 
 
+def first_per_group(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row per group, the first one by ``order``.
+
+    Each task keeps its own first rows before anything is shuffled, so that a hot group sends
+    one row per task, and rows are sorted as they are: no aggregate carries their texts.
+    """
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn(_NTH, nth).where(F.col(_NTH) == 1).drop(_NTH)
+
+
 def one_per_key(supplement: DataFrame, order_by: list[str] | None = None) -> DataFrame:
     """One supplement row per stripped key; blank keys are dropped.
 
     The first row by ``order_by``, then by its number of empty fields, then by all fields
-    is kept; a field that is empty there takes the least value that other rows have. These
-    are grouped minima: the copies of a hot key are reduced before the shuffle.
+    is kept; a field that is empty there takes the least value that other rows have. Those
+    values are looked for in a second pass, over the rows of keys that have such a field.
     """
     supplement = add_missing(supplement, SUPPLEMENT_COLUMNS, None)
-    gaps = count_false(~is_empty(c) for c in SUPPLEMENT_COLUMNS).alias("gaps")
-    rows = (
-        supplement.where(~is_empty(KEY))
-        .groupBy(strip(KEY).alias(_LOOKUP))
-        .agg(
-            F.min(F.struct(*(order_by or []), gaps, *SUPPLEMENT_COLUMNS)).alias("row"),
-            F.struct(*[F.min(F.when(~is_empty(c), F.col(c))).alias(c) for c in SUPPLEMENT_COLUMNS]).alias("other"),
-        )
+    keyed = supplement.where(~is_empty(KEY)).withColumns(
+        {_LOOKUP: strip(KEY), _GAPS: count_false(~is_empty(c) for c in SUPPLEMENT_COLUMNS)}
+    )
+    order = [*(order_by or []), _GAPS, *SUPPLEMENT_COLUMNS]
+    chosen = first_per_group(keyed, [_LOOKUP], order).select(_LOOKUP, _GAPS, *SUPPLEMENT_COLUMNS)
+    holes = chosen.where(F.col(_GAPS) > 0).select(_LOOKUP)
+    cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in SUPPLEMENT_COLUMNS])
+    offered = keep_likely(keyed, F.col(_LOOKUP), holes).select(
+        _LOOKUP, F.inline(F.filter(cells, lambda c: ~is_empty(c.value)))
+    )
+    least = first_per_group(offered, [_LOOKUP, "field"], ["value"])
+    others = least.groupBy(_LOOKUP).agg(
+        F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias(_OTHERS)
     )
 
     def value(name: str) -> Column:
-        own = F.col(f"row.{name}")
-        return F.when(~is_empty(own), own).otherwise(F.col(f"other.{name}")).alias(f"__{name}")
+        other = F.try_element_at(_OTHERS, F.lit(name))
+        return F.when(~is_empty(name), F.col(name)).otherwise(other).alias(f"__{name}")
 
-    return rows.select(_LOOKUP, *[value(c) for c in SUPPLEMENT_COLUMNS])
+    return chosen.join(others, _LOOKUP, "left").select(_LOOKUP, *[value(c) for c in SUPPLEMENT_COLUMNS])
 
 
 def hydrate(
@@ -98,8 +114,9 @@ def hydrate(
     required columns are added first.
 
     By default rows that need nothing bypass the join, so only the others are
-    shuffled, at the price of reading the listings twice. ``one_pass=True`` reads them
-    once: right for a supplement below the broadcast threshold, and always used for
+    shuffled, and supplement rows that none of them asks for are dropped by a bitmap of the
+    asked keys before they are; the price is reading the listings three times.
+    ``one_pass=True`` reads them once: right for a supplement below the broadcast threshold, and always used for
     streams. The supplement has one row per key, so that adaptive execution splits hot
     keys by itself; with ``hot_rows``, keys above so many rows are split up beforehand.
     """
@@ -129,12 +146,16 @@ def hydrate_and_mark(
         return listings.withColumn(VALID, _valid(listings, tested, {}))
     listings = add_missing(listings, [REAL_INSTALLS], None)
     names = listings.columns
-    rows = supplement if reduced else one_per_key(supplement, order_by)
     needs = needs_lookup(tested)
     if one_pass or (one_pass is None and listings.isStreaming):
+        rows = supplement if reduced else one_per_key(supplement, order_by)
         keyed = listings.withColumn(_LOOKUP, F.when(needs, strip(KEY)))
         return _fill(spread_join(keyed, rows, _LOOKUP, "left", hot_rows), names, tested)
     keyed = listings.where(needs).withColumn(_LOOKUP, strip(KEY))
+    if reduced:
+        rows = supplement
+    else:
+        rows = one_per_key(keep_likely(supplement, strip(KEY), keyed.select(_LOOKUP)), order_by)
     filled = _fill(spread_join(keyed, rows, _LOOKUP, "left", hot_rows), names, tested)
     # A row that needs no lookup is complete, unless it has no key.
     complete = listings.where(~needs).withColumn(VALID, ~is_empty(KEY))

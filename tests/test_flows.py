@@ -372,3 +372,63 @@ def test_hot_keys_of_empty_null_and_mixed_keys(spark):
     listed = spark.range(50).selectExpr("array(id % 2) k", "id", "map(id, id) m").drop("m")
     other = spark.range(5).selectExpr("array(id) k", "id AS w")
     assert rows_of(spread_join(listed, other, "k", "left", 5)) == rows_of(listed.join(other, "k", "left"))
+
+
+# --- plans of the lookup ----------------------------------------------------
+def nodes(node):
+    """A node of a physical plan and all below it."""
+    yield node
+    children = node.children()
+    for i in range(children.size()):
+        yield from nodes(children.apply(i))
+
+
+def static_plan(spark, df):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return df._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_unasked_supplement_texts_are_not_shuffled(spark, table, listing, tmp_path):
+    table([listing("a", summary=""), listing("b")]).write.parquet(f"{tmp_path}/listed")
+    table([listing(k, summary=f"of {k}") for k in "abcdef"]).write.parquet(f"{tmp_path}/source_table")
+    listed, source = spark.read.parquet(f"{tmp_path}/listed"), spark.read.parquet(f"{tmp_path}/source_table")
+    whole = static_plan(spark, af.hydrate(listed, source))
+    moved = 0
+    for node in nodes(whole):
+        if node.nodeName() != "Exchange":
+            continue
+        below = [*nodes(node)]
+        scans = [n for n in below if n.nodeName().startswith("Scan parquet")]
+        if any("source_table" in n.relation().location().rootPaths().toString() for n in scans):
+            moved += 1
+            assert any(n.nodeName() == "BroadcastHashJoin" and "__word" in n.simpleString(10000) for n in below)
+    assert moved
+    assert "SortAggregate" not in {n.nodeName() for n in nodes(whole)}
+
+
+def test_first_row_and_least_values_of_a_key(table, listing):
+    from appfacet.operators.lookup import one_per_key
+
+    rows = [
+        listing("k", summary="", developer="z", installs=None),
+        listing(" k ", summary="b", developer="", installs="7"),
+        listing("k", summary="a", developer="y", installs="", score=""),
+        listing("full"),
+        listing("full"),
+        listing("hole", summary=" "),
+        listing(None),
+        listing(" "),
+    ]
+    found = {r["__lookup_key"]: r for r in one_per_key(table(rows)).collect()}
+    assert sorted(found) == ["full", "hole", "k"]
+    k = found["k"]  # the fullest row is the second; what it lacks is the least of the others
+    assert (k["__summary"], k["__developer"], k["__installs"], k["__score"]) == ("b", "y", "7", "4.5")
+    assert found["hole"]["__summary"] is None and found["full"]["__summary"] == "An app for all"
+    ordered = one_per_key(table([r | {"rank": str(i)} for i, r in enumerate(rows)]), ["rank"])
+    (first,) = [r for r in ordered.collect() if r["__lookup_key"] == "k"]
+    assert (first["__summary"], first["__developer"], first["__installs"]) == ("a", "z", "7")
