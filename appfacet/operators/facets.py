@@ -44,27 +44,31 @@ def derived_months(df: DataFrame) -> Column:
     return months_from_days(safe_double(DAYS))
 
 
-def months_number(df: DataFrame, policy: str = "dataset", scope: DataFrame | None = None) -> Column:
+def months_number(
+    df: DataFrame, policy: str = "dataset", scope: DataFrame | None = None, given: bool | None = None
+) -> Column:
     """Months since launch.
 
     Without a months column the value is derived from the days. With one, the policy
     decides: ``"dataset"`` takes that column for all rows if any row of ``scope``
     (default: ``df``) has a number in it, ``"row"`` derives only where it is missing.
-    The dataset policy is an EXISTS subquery, which stops at the first number found;
-    it does not apply to streams.
+    The dataset policy is an EXISTS subquery, which stops at the first number found, or
+    ``given`` where the answer is known; it does not apply to streams.
     """
     if policy not in ("dataset", "row"):
         raise ValueError(f"unknown months policy {policy!r}: use 'dataset' or 'row'")
     if MONTHS not in df.columns:
         return derived_months(df)
-    given, derived = safe_double(MONTHS), derived_months(df).cast("double")
+    own, derived = safe_double(MONTHS), derived_months(df).cast("double")
     if policy == "row":
-        return F.coalesce(given, derived)
+        return F.coalesce(own, derived)
+    if given is not None:
+        return own if given else derived
     scope = df if scope is None else scope
     if scope.isStreaming:
         raise ValueError("months policy 'dataset' needs a finite table: use 'row' on streams")
     any_given = scope.where(safe_double(MONTHS).isNotNull()).select(F.lit(1)).exists()
-    return F.when(any_given, given).otherwise(derived)
+    return F.when(any_given, own).otherwise(derived)
 
 
 def free_value(df: DataFrame) -> Column:
@@ -138,6 +142,7 @@ def all_features(
     rules: CategoryRules | None = None,
     months_policy: str = "dataset",
     scope: DataFrame | None = None,
+    months_given: bool | None = None,
 ) -> DataFrame:
     """Append the flags of all families, and ``months_since_launch`` as a number.
 
@@ -148,7 +153,7 @@ def all_features(
     parsed = {
         "__score": score_number(df),
         "__installs": install_number(df),
-        MONTHS: months_number(df, months_policy, scope),
+        MONTHS: months_number(df, months_policy, scope, months_given),
         "__free": free_value(df),
         "__iap": iap_value(df),
         "__rating": normal_token("content_rating"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..functions.dates import days_since, parse_release_date
 from ..functions.numbers import safe_double
@@ -134,13 +134,26 @@ def hydrate_and_mark(
     hot_rows: int | None = None,
     tested: tuple[str, ...] = REQUIRED_COLUMNS,
     reduced: bool = False,
+    observed: Observation | None = None,
 ) -> DataFrame:
     """``hydrate`` plus a column telling whether the row is valid once installs are resolved.
 
     The mark is made from the inputs of the filling rather than from its results, which
     keeps the filters on it small. ``tested`` leaves out columns known to be filled;
-    ``reduced`` says that the supplement comes from ``one_per_key``.
+    ``reduced`` says that the supplement comes from ``one_per_key``. ``observed`` gets the
+    counts of ``hydration_counts`` while the rows pass.
     """
+
+    def fill(joined: DataFrame) -> DataFrame:
+        if observed is not None:
+            asked = F.col(_LOOKUP).isNotNull()
+            joined = joined.observe(
+                observed,
+                F.count_if(asked).alias("targets"),
+                F.count_if(asked & F.col(f"__{KEY}").isNotNull()).alias("fetched"),
+            )
+        return _fill(joined, names, tested)
+
     listings = add_required(listings)
     if supplement is None:
         return listings.withColumn(VALID, _valid(listings, tested, {}))
@@ -150,13 +163,13 @@ def hydrate_and_mark(
     if one_pass or (one_pass is None and listings.isStreaming):
         rows = supplement if reduced else one_per_key(supplement, order_by)
         keyed = listings.withColumn(_LOOKUP, F.when(needs, strip(KEY)))
-        return _fill(spread_join(keyed, rows, _LOOKUP, "left", hot_rows), names, tested)
+        return fill(spread_join(keyed, rows, _LOOKUP, "left", hot_rows))
     keyed = listings.where(needs).withColumn(_LOOKUP, strip(KEY))
     if reduced:
         rows = supplement
     else:
         rows = one_per_key(keep_likely(supplement, strip(KEY), keyed.select(_LOOKUP)), order_by)
-    filled = _fill(spread_join(keyed, rows, _LOOKUP, "left", hot_rows), names, tested)
+    filled = fill(spread_join(keyed, rows, _LOOKUP, "left", hot_rows))
     # A row that needs no lookup is complete, unless it has no key.
     complete = listings.where(~needs).withColumn(VALID, ~is_empty(KEY))
     return complete.unionByName(filled)
