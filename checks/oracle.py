@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from appfacet import default_rules
-
-from .records import AS_OF, duck_ctes, quoted, terms
+from .records import AS_OF, duck_ctes, quoted
+from .vocabulary import categories, terms
 
 REQUIRED = (
     "bundle_id", "description", "summary", "genreid", "content_rating", "score", "ratings_count",
@@ -131,11 +130,8 @@ def any_term(x, literals):
 
 def hits(category):
     """Genre, summary and description condition of a category over columns g, s, d."""
-    rules = [r for r in default_rules().rules if r.category == category]
-    genres = [r.term for r in rules if r.phase == "genre"]
-    words = [r.term for r in rules if r.phase == "summary"]
+    genres, words, phrases = (terms(p, category) for p in ("genre", "summary", "description"))
     literals = [w if " " in w else f" {w} " for w in words]
-    phrases = [r.term for r in rules if r.phase == "description"]
     return (
         f"coalesce(g IN ({quoted(genres)}), FALSE)" if genres else "FALSE",
         f"coalesce({any_term('s', literals)}, FALSE)",
@@ -152,7 +148,7 @@ def phased(source):
 
 
 def category_flags():
-    return {c: flag(" OR ".join(hits(c))) for c in default_rules().categories}
+    return {c: flag(" OR ".join(hits(c))) for c in categories()}
 
 
 def labels(conditions: dict[str, str]) -> str:

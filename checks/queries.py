@@ -59,8 +59,8 @@ from .records import (
     spark_pick,
     spread_table,
     table,
-    terms,
 )
+from .vocabulary import categories, terms
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -280,7 +280,7 @@ def supplier_as_text(spark, sf):
 
 # --- categories ------------------------------------------------------------
 def _phase_labels(source, phase):
-    conditions = {c: o.hits(c)[phase] for c in af.default_rules().categories}
+    conditions = {c: o.hits(c)[phase] for c in categories()}
     return f"SELECT bundle_id, {o.labels(conditions)} AS labels FROM {o.phased(source)}"
 
 
@@ -308,9 +308,8 @@ def description_tags(spark, sf):
     "SELECT doc_id, "
     + o.labels(
         {
-            r: o.any_term("lower(text)", [t.term for t in af.default_rules().rules
-                                          if t.category == r and t.phase == "description"])
-            for r in af.default_rules().categories
+            r: o.any_term("lower(text)", terms("description", r))
+            for r in categories()
         }
     )
     + " AS labels FROM phrase_docs"
@@ -407,7 +406,7 @@ def genre_table_categories(spark, sf):
 
 @query(
     "SELECT bundle_id, "
-    + o.labels({c: " OR ".join(o.hits(c)) for c in af.default_rules().categories})
+    + o.labels({c: " OR ".join(o.hits(c)) for c in categories()})
     + f" AS labels FROM {o.phased('app_records')}"
 )
 def rule_table_categories(spark, sf):
@@ -423,7 +422,7 @@ def category_flags(spark, sf):
 
 @query(
     "SELECT bundle_id, "
-    + o.labels({c: " OR ".join(o.hits(c)) for c in af.default_rules().categories})
+    + o.labels({c: " OR ".join(o.hits(c)) for c in categories()})
     + f" AS labels FROM {o.phased('app_records')}"
 )
 def category_union(spark, sf):
@@ -433,7 +432,7 @@ def category_union(spark, sf):
 
 def _breakdown_sql():
     rows = []
-    for c in af.default_rules().categories:
+    for c in categories():
         p = [f"CAST({h} AS INTEGER)" for h in o.hits(c)]
         rows.append(
             f"SELECT '{c}' AS category, CAST(sum({p[0]}) AS BIGINT) AS p1, CAST(sum({p[1]}) AS BIGINT) AS p2a, "
@@ -454,7 +453,7 @@ def phase_breakdown(spark, sf):
 @query(
     f"""SELECT CAST(n - zero AS BIGINT) AS assigned, {o.percent('n - zero', 'n')} AS assigned_pct,
     CAST(zero AS BIGINT) AS unassigned, {o.percent('zero', 'n')} AS unassigned_pct FROM (
-    SELECT count(*) AS n, count_if({' + '.join(af.default_rules().categories)} = 0) AS zero FROM enriched)"""
+    SELECT count(*) AS n, count_if({' + '.join(categories())} = 0) AS zero FROM enriched)"""
 )
 def category_assignment(spark, sf):
     return enrich_listings(app_records(spark, sf)).category_assignment()

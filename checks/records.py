@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from appfacet import default_rules
 from appfacet.sources.tables import with_partitions
 
+from .vocabulary import terms
+
 AS_OF = "2003-01-01"
 
 RATINGS = (
@@ -23,10 +24,6 @@ RATINGS = (
 )
 
 
-def terms(phase: str) -> list[str]:
-    return [r.term for r in default_rules().rules if r.phase == phase]
-
-
 def quoted(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
@@ -60,7 +57,7 @@ DUCK = {
 def base_columns(e: dict) -> dict[str, str]:
     """First projection over orders left-joined to documents."""
     pick = e["pick"]
-    phrases, words, genres = terms("description"), terms("summary"), list(default_rules().genres)
+    phrases, words, genres = terms("description"), terms("summary"), list(dict.fromkeys(terms("genre")))
     return {
         "k": "o_orderkey",
         "n": "o_orderkey * 7919 % 20000000",

@@ -174,3 +174,11 @@ def test_final_columns():
     names = final_columns(af.default_rules().categories)
     assert len(names) == len(set(names)) == 71
     assert names[13] == "months_since_launch" and names[14] == "is_investments"
+
+
+def test_the_package_reads_the_vocabulary_that_the_twins_have():
+    from checks.vocabulary import categories, vocabulary
+
+    rules = af.default_rules()
+    assert [(r.category, r.phase, r.term) for r in rules.rules] == [tuple(t) for t in vocabulary()]
+    assert rules.categories == categories()
