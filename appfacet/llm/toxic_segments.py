@@ -1,6 +1,6 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
-Labelled texts with a word are counted by class (equal texts of a task once), and the
+Labelled texts with a word are counted by class (equal texts of a class once), and the
 word's log-odds under an informative Dirichlet prior, less two deviations, say how surely
 it belongs to toxic texts. Words above a limit score that, all others a small negative
 drift, so a toxic passage is a segment with a high sum. A linear scan finds every maximal segment. Segment sums are
@@ -9,7 +9,8 @@ over the clean words, lambda * sum - ln(n) follows a Gumbel law in clean texts o
 so segments above `significant` are reported and add up. A logistic curve, fitted on a
 histogram of the training texts' sums, turns the total into a score from 0 to 1.
 
-Defined results: a null or empty text scores the curve's value at its least total; without
+Defined results: a text without a scoring word, null and empty ones included, scores the curve's
+value at the least total; without
 labels of both classes, or without a word above the limit, every score is 0; repeated rows
 each get a row; rows with a null id are scored and never trained on.
 """
@@ -24,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from appfacet.llm.common import cut, hash64, map_batches
+from appfacet.llm.common import cut, map_batches
 
 FOLDS, HELD_OUT = 5, 0
 #: bound of the labelled rows that are broadcast for training, chosen by a digest of the id
@@ -37,6 +38,8 @@ BASE_PRIOR, SHARED_PRIOR = 0.5, 50.0
 DEVIATIONS, LEAST_SCORE, LEAST_TOXIC = 2.0, 1.5, 3
 DRIFT = -0.1
 STEP = 0.25
+#: the total of texts without a scoring word, empty ones included
+LEAST_TOTAL = -12.0
 _PUNCTUATION = str.maketrans({c: " " for c in string.punctuation})
 
 
@@ -107,13 +110,10 @@ def training_labels(labels: DataFrame) -> DataFrame:
 
 def _count(batches):
     counts: Counter[str] = Counter()
-    seen: set[int] = set()
     for b in batches:
         for text, toxic in zip(b["text"], b["toxic"], strict=True):
             mark = "1" if toxic else "0"
-            if (key := hash64((mark + (text or "")).encode())) not in seen:
-                seen.add(key)
-                counts.update(mark + w for w in set(words_of(text)))
+            counts.update(mark + w for w in set(words_of(text)))
         if len(counts) > 500_000:
             yield {"word": [*counts], "n": [*counts.values()]}
             counts.clear()
@@ -123,7 +123,9 @@ def _count(batches):
 def learn(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float] | None:
     """Scores of toxic words, and lambda; None if they can't be learned."""
     marked = docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id").select("text", "toxic")
-    marks = map_batches(marked, _count, {"word": "string", "n": "long"})
+    # at most MOST_LABELS documents; whatever task holds a copy, it counts once
+    once = marked.withColumn("digest", F.sha2(F.coalesce("text", F.lit("")), 256)).dropDuplicates(["digest", "toxic"])
+    marks = map_batches(once.select("text", "toxic"), _count, {"word": "string", "n": "long"})
     word, toxic = F.substring("word", 2, 1 << 30), F.substring("word", 1, 1) == "1"
     counts = cut(
         marks.groupBy(word.alias("w")).agg(
@@ -165,9 +167,9 @@ def find_segments(docs: DataFrame, scores: dict[str, float], rate: float, signif
                 less = math.log(max(len(words), 1))
                 values = [(rate * s - less, start, end) for start, end, s in found]
                 kept = [v for v in values if v[0] > significant]
-                total = sum(v for v, _, _ in kept) if kept else max((v for v, _, _ in values), default=-less)
+                total = sum(v for v, _, _ in kept) if kept else max((v for v, _, _ in values), default=LEAST_TOTAL)
                 out["n_words"].append(len(words))
-                out["total"].append(max(total, -12.0))
+                out["total"].append(max(total, LEAST_TOTAL))
                 out["seg_start"].append([start for _, start, _ in kept])
                 out["seg_end"].append([end for _, _, end in kept])
             yield out
