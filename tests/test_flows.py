@@ -432,3 +432,16 @@ def test_first_row_and_least_values_of_a_key(table, listing):
     ordered = one_per_key(table([r | {"rank": str(i)} for i, r in enumerate(rows)]), ["rank"])
     (first,) = [r for r in ordered.collect() if r["__lookup_key"] == "k"]
     assert (first["__summary"], first["__developer"], first["__installs"]) == ("a", "z", "7")
+
+
+def test_rows_that_need_no_lookup_spread_in_one_pass(spark, table, listing):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        base = table([listing(f"app.{i}") for i in range(200)] + [listing(None, summary=str(i)) for i in range(200)])
+        done = af.hydrate(base, table([listing("app.x")]), one_pass=True)
+        held = [r["n"] for r in done.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(held) == 400 and max(held) < 200
