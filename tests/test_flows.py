@@ -434,6 +434,19 @@ def test_first_row_and_least_values_of_a_key(table, listing):
     assert (first["__summary"], first["__developer"], first["__installs"]) == ("a", "z", "7")
 
 
+def test_supplement_rows_are_shuffled_before_they_are_sorted(spark, table, listing, tmp_path):
+    from appfacet.operators.lookup import one_per_key
+
+    table([listing(f"k{i % 3}", summary=str(i)) for i in range(9)]).write.parquet(f"{tmp_path}/s")
+    one = one_per_key(spark.read.parquet(f"{tmp_path}/s"))
+    whole = [*nodes(static_plan(spark, one))]
+    moved = [n for n in whole if n.nodeName() == "Exchange"]
+    assert len(moved) == 2 and "Generate" not in {n.nodeName() for n in whole}
+    # the lower exchange moves rows as they are read
+    assert not {n.nodeName() for n in nodes(moved[-1])} & {"Sort", "Window", "WindowGroupLimit"}
+    assert [(r["__lookup_key"], r["__summary"]) for r in one.orderBy("__lookup_key").collect()] == [("k0", "0"), ("k1", "1"), ("k2", "2")]
+
+
 def test_rows_that_need_no_lookup_spread_in_one_pass(spark, table, listing):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
