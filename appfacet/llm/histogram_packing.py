@@ -18,6 +18,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -28,19 +29,22 @@ from appfacet.llm.common import cut, map_arrays, map_batches
 END_ID = 1
 BUCKETS = 128
 CHUNK = 128
-MOST_WORDS = 600_000
+MOST_WORDS = 900_000
+#: words that go to the library as one text
+TOGETHER = 1024
 # fixed values: the vocabulary's split pattern where all characters are Latin
 LATIN_WORDS = re.compile(r"[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)|\d|(?:[^\w\s]|_)+")
-OTHER_THAN_LATIN = re.compile("<\\||[\x1c-\x1f\x85\xb2\xb3\xb9\xbc-\xbeİɐ-\U0010ffff]")
+OTHER_THAN_LATIN = re.compile("[\x1c-\x1f\x85\xb2\xb3\xb9\xbc-\xbeİɐ-\U0010ffff]")
 _PIECES = {"doc_id": "long", "piece": "int", "start": "long", "length": "long", "ids_crc32": "long"}
 
 
 class WordEncoder:
     """Ids of whole texts, from the library's ids of their words.
 
-    The vocabulary's words are encoded one by one, after lower-casing, so the ids of a
-    Latin text are those of its words in a row. Other texts, and those with marks that
-    could be special tokens, go to the library whole.
+    No word holds a space, so a Latin text's ids are, after lower-casing, those of its
+    stretches between spaces in a row, and a stretch's those of its words. Both are kept;
+    new words are encoded many at once, and told apart by the library's word numbers. Other
+    texts, and those with marks that could be special tokens, go to the library whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -53,13 +57,28 @@ class WordEncoder:
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.library.encode_batch(texts, add_special_tokens=False)]
 
+    def _each(self, words: list[str]) -> list[bytes]:
+        found = self.library.encode(" ".join(words), add_special_tokens=False)
+        numbers = np.array(found.word_ids, np.int64)
+        if not np.array_equal(np.unique(numbers), np.arange(len(words))):  # the library splits otherwise
+            return self._library(words)
+        ids, starts = np.array(found.ids, "<u4").tobytes(), (4 * np.searchsorted(numbers, np.arange(len(words) + 1))).tolist()
+        return [ids[start:end] for start, end in pairwise(starts)]
+
+    def _learn(self, stretches: set[str]) -> None:
+        parts = {stretch: LATIN_WORDS.findall(stretch) for stretch in stretches}
+        new = [*set().union(*parts.values()).difference(self.words)]
+        for at in range(0, len(new), TOGETHER):
+            self.words.update(zip(new[at : at + TOGETHER], self._each(new[at : at + TOGETHER]), strict=True))
+        ids = self.words.__getitem__
+        self.words.update({stretch: b"".join(map(ids, words)) for stretch, words in parts.items() if stretch not in self.words})
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as unsigned 32-bit little-endian numbers."""
         if len(self.words) > MOST_WORDS:  # a task's memory; words are encoded anew when needed
             self.words.clear()
-        split = [None if OTHER_THAN_LATIN.search(text) else LATIN_WORDS.findall(text.lower()) for text in texts]
-        missing = [*set().union(*(x for x in split if x)).difference(self.words)]
-        self.words.update(zip(missing, self._library(missing), strict=True))
+        split = [None if "<|" in text or OTHER_THAN_LATIN.search(text) else text.lower().split() for text in texts]
+        self._learn(set().union(*(x for x in split if x)).difference(self.words))
         ids = self.words.__getitem__
         return [self._library([text])[0] if words is None else b"".join(map(ids, words)) for text, words in zip(texts, split, strict=True)]
 

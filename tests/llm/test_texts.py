@@ -198,6 +198,31 @@ def check_packing(texts, out, capacity):
     return len(by_sequence), -(-sum(map(len, ids.values())) // capacity)
 
 
+class CountedLibrary:
+    """The library, counting the texts it is given."""
+
+    def __init__(self):
+        self.given = 0
+
+    def encode(self, text, **how):
+        self.given += 1
+        return library(WORDS).encode(text, **how)
+
+    def encode_batch(self, texts, **how):
+        self.given += len(texts)
+        return library(WORDS).encode_batch(texts, **how)
+
+
+def test_words_reach_the_library_many_at_once():
+    words = histogram_packing.WordEncoder(WORDS)
+    words.library = counted = CountedLibrary()
+    texts = [f"{a}{b} it's,{a}_{b}x! ({b})\xa0{a.upper()}é-{b}" for a in "abcdefghij" for b in "klmnopqrst"]
+    want = [np.array(library(WORDS).encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in [*texts, "漢 a", "<|endoftext|> a", ""]]
+    assert words.encode([*texts, "漢 a", "<|endoftext|> a", ""]) == want
+    assert counted.given <= 4
+    assert words.encode(texts) == want[: len(texts)] and counted.given <= 4
+
+
 def test_packing_is_gapless_and_tight(documents, prose):
     texts = [*ODD, "<|startoftext|>x", "İstanbul Σας", *(prose(i, 5 + 13 * (i % 17)) for i in range(120)), prose(3, 900)]
     out = histogram_packing.pack(documents(texts, extra=("rank", "length")), WORDS, 256).collect()
