@@ -86,16 +86,18 @@ def _pieces(literals: DataFrame) -> DataFrame:
     return seen.select("literal", F.inline(F.when(F.size(whole) > 0, whole).otherwise(F.col("pieces"))))
 
 
-def _grams(token: Column) -> Column:
-    """The distinct pieces of up to GRAM characters of a token."""
-    chars = F.split(token, "")
+def _offered(vocabulary: DataFrame, asked: DataFrame) -> DataFrame:
+    """The vocabulary once per distinct piece of up to GRAM characters that may be in ``asked``.
 
-    def of_size(n: int) -> Column:
-        whole = lambda c, i: F.when(i + n <= F.size(chars), F.array_join(F.slice(chars, i + 1, n), ""))
-        return F.transform(chars, whole)
-
-    pieces = [of_size(n) for n in range(1, GRAM + 1)]
-    return F.array_compact(F.array_distinct(F.concat(*pieces)))
+    Pieces are cut in generated code and pass a bitmap where they are cut, so that most of
+    them are never a row that moves.
+    """
+    length, size, place = F.length(_TOKEN), F.col("__size"), F.col("__place")
+    sizes = vocabulary.withColumn("__size", F.explode(F.sequence(F.lit(1), F.least(F.lit(GRAM), length))))
+    placed = sizes.withColumn("__place", F.explode(F.sequence(F.lit(1), length - size + 1)))
+    cut = placed.withColumn("gram", F.substring(_TOKEN, place, size))
+    likely = keep_likely(cut, F.col("gram"), asked)
+    return likely.where(F.instr(_TOKEN, F.col("gram")) == place).drop("__size", "__place")
 
 
 def _matches(pieces: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -103,7 +105,7 @@ def _matches(pieces: DataFrame, vocabulary: DataFrame) -> DataFrame:
     whole = pieces.where("kind = 'whole'").join(vocabulary, F.col("piece") == F.col(_TOKEN))
     gram = F.when(F.col("kind") == "suffix", F.right("piece", F.lit(GRAM))).otherwise(F.left("piece", F.lit(GRAM)))
     asked = pieces.where("kind <> 'whole'").withColumn("asked_gram", gram)
-    offered = vocabulary.withColumn("gram", F.explode(_grams(F.col(_TOKEN))))
+    offered = _offered(vocabulary, asked.select("asked_gram"))
     shown = (
         F.when(F.col("kind") == "prefix", F.startswith(_TOKEN, F.col("piece")))
         .when(F.col("kind") == "suffix", F.endswith(F.col(_TOKEN), F.col("piece")))
@@ -114,13 +116,14 @@ def _matches(pieces: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 
 def _anchors(literals: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(token, literal, categories): the tokens that show the rarest piece of each literal."""
+    """(token, terms): the tokens that show the rarest piece of literals, and those literals."""
     matches = _matches(_pieces(literals), vocabulary)
     sizes = matches.groupBy("literal", "kind", "piece").agg(F.sum("texts").alias("texts"))
     rarest = sizes.groupBy("literal").agg(F.min(F.struct("texts", "kind", "piece")).alias("chosen"))
     rarest = rarest.select("literal", "chosen.kind", "chosen.piece")
     chosen = matches.join(rarest, ["literal", "kind", "piece"], "left_semi").select(_TOKEN, "literal")
-    return chosen.join(literals, "literal")
+    # one row per token, so that a frequent token of many literals doesn't multiply its texts
+    return chosen.join(literals, "literal").groupBy(_TOKEN).agg(F.collect_list(F.struct("literal", "categories")).alias(_TERMS))
 
 
 def tag_with_rule_table(
@@ -141,10 +144,13 @@ def tag_with_rule_table(
         _ID, F.explode(F.array_distinct(F.split(_TEXT, " "))).alias(_TOKEN)
     )
     vocabulary = tokens.where(F.col(_TOKEN) != "").groupBy(_TOKEN).agg(F.count(F.lit(1)).alias("texts"))
+    # asked for by every use, so that all of them read one count
+    vocabulary = vocabulary.where("texts > 0")
     anchors = _anchors(literals, vocabulary)
     asked = keep_likely(tokens, F.col(_TOKEN), anchors.select(_TOKEN))
-    met = spread_join(asked, anchors, _TOKEN, "inner", hot_rows)
-    likely = met.groupBy(_ID).agg(F.collect_set(F.struct("literal", "categories")).alias(_TERMS))
+    # one row per asked token: a hash of them spares the far larger tokens of the texts a sort
+    met = spread_join(asked, anchors.hint("shuffle_hash"), _TOKEN, "inner", hot_rows)
+    likely = met.groupBy(_ID).agg(F.flatten(F.collect_set(_TERMS)).alias(_TERMS))
     joined = spread_join(rows, likely, _ID, "left", hot_rows)
     found = F.filter(_TERMS, lambda t: F.contains(F.col(_TEXT), t.literal))
     labels = F.array_sort(F.array_distinct(F.flatten(F.transform(found, lambda t: t.categories))))

@@ -125,3 +125,28 @@ def test_bitmap_keeps_every_wanted_row_and_moves_none(spark):
     assert keep_likely(df, F.col("k"), wanted, bits=8).count() > 10000  # full, and still right
     assert keep_likely(df, F.col("k"), wanted.where("false")).count() == 0
     assert plan(kept.select("id")).split("BroadcastExchange")[0].count("Exchange") == 0
+
+
+def test_only_asked_pieces_of_tokens_move(spark):
+    df = spark.createDataFrame([(i, f"tok{i}en online{i % 3} {'ab' * i} tion") for i in range(60)], "id int, text string").repartition(4)
+    rules = spark.createDataFrame([("c", "substring", "lin"), ("d", "substring", "bab"), ("d", "substring", "n"), ("e", "substring", "x on")], SCHEMA)
+    tagged = af.tag_with_rule_table(df, "text", rules)
+    text = plan(tagged)
+    # pieces pass a bitmap where they are cut, and no lambda cuts them
+    cut = [line for line in text.splitlines() if "Generate explode(sequence" in line]
+    assert cut and "split(__token" not in text and "lambda i" not in text
+    want = {i: sorted({c for c, t in (("c", "lin"), ("d", "bab"), ("d", "n"), ("e", "x on")) if t in f" tok{i}en online{i % 3} {'ab' * i} tion "}) for i in range(60)}
+    assert {r["id"]: r["labels"] for r in tagged.collect()} == want
+
+
+def test_a_token_of_many_terms_is_met_once_per_text(spark):
+    from appfacet.operators.tagging import _anchors, _literals
+
+    rules = spark.createDataFrame([("c", "word", "online"), ("d", "substring", "online"), ("e", "substring", "lin"), ("f", "substring", "nl")], SCHEMA)
+    vocabulary = spark.createDataFrame([("online", 9), ("offline", 2), ("nlnl", 1)], "__token string, texts long")
+    met = {r["__token"]: sorted((t["literal"], t["categories"]) for t in r["__terms"]) for r in _anchors(_literals(rules), vocabulary).collect()}
+    assert met == {
+        "online": [(" online ", ["c"]), ("lin", ["e"]), ("nl", ["f"]), ("online", ["d"])],
+        "offline": [("lin", ["e"])],
+        "nlnl": [("nl", ["f"])],
+    }
