@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: bits of the bitmap as a power of two; its table has at most 2 ** (BITMAP - 6) rows of 16 bytes
-BITMAP = 22
+#: bits of the bitmap as a power of two; its table has at most 2 ** (BITMAP - 6) rows of 16 bytes,
+#: only those that a key falls into. With 20 million keys a quarter of the other rows pass
+BITMAP = 26
 _WORD, _BITS = "__word", "__bits"
 
 

@@ -150,3 +150,10 @@ def test_a_token_of_many_terms_is_met_once_per_text(spark):
         "offline": [("lin", ["e"])],
         "nlnl": [("nl", ["f"])],
     }
+
+
+def test_bitmap_has_room_for_millions_of_keys(spark):
+    df = spark.range(200000).selectExpr("concat('other', id) AS k")
+    wanted = spark.range(2000000).selectExpr("concat('k', id) AS w")
+    assert keep_likely(df, F.col("k"), wanted).count() < 10000
+    assert keep_likely(wanted, F.col("w"), wanted).count() == 2000000
