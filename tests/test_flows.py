@@ -458,3 +458,43 @@ def test_rows_that_need_no_lookup_spread_in_one_pass(spark, table, listing):
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(held) == 400 and max(held) < 200
+
+
+def test_packed_rows_come_out_as_they_went_in(spark):
+    from appfacet.operators.packing import repartition_packed
+
+    rows = [(i, f"k{i % 3}", *row) for i, row in enumerate([("a", None, "", " é日𝄞 "), (None,) * 4, ("", "", "", ""), ("x" * 70_000, "y", None, "z" * 9)])]
+    base = spark.createDataFrame(rows, "n long, k string, `a.b` string, b string, c string, d string").withColumn("e", F.expr("CAST(X'ff00c3' AS STRING)"))
+    for keys in (["k"], ["k", "b"], ["k", "a.b", "b", "c", "d", "e"]):
+        moved = repartition_packed(base, [f"`{c}`" if "." in c else c for c in keys]) if "a.b" not in keys else repartition_packed(base.withColumnRenamed("a.b", "ab"), ["k", "ab", "b", "c", "d", "e"]).withColumnRenamed("ab", "a.b")
+        raw = lambda df: sorted(tuple(r) for r in df.select("n", "k", "`a.b`", "b", "c", "d", F.hex("e")).collect())
+        assert raw(moved) == raw(base) and sorted(moved.columns) == sorted(base.columns)
+    swapped = repartition_packed(base, ["k"], {"b": F.nullif(F.col("b"), F.col("d"))})
+    assert [r["b"] for r in swapped.orderBy("n").collect()] == [None, None, None, "y"]
+
+
+def test_supplement_rows_are_packed_where_they_are_shuffled(spark, table, listing):
+    from appfacet.operators.lookup import one_per_key
+
+    one = one_per_key(table([listing(f"k{i % 3}", summary=str(i), developer=None) for i in range(9)]).withColumn("ratings_count", F.lit(5)))
+    moved = [n for n in nodes(static_plan(spark, one)) if n.nodeName() == "Exchange"]
+    for node in moved:
+        assert "__bytes" in node.output().toString() and "summary" not in node.output().toString()
+    got = {r["__lookup_key"]: r for r in one.collect()}
+    assert {k: (r["__summary"], r["__ratings_count"], r["__bundle_id"]) for k, r in got.items()} == {f"k{i}": (str(i), 5, f"k{i}") for i in range(3)}
+
+
+def test_unwanted_listings_and_supplement_rows_are_not_shuffled(spark, table, listing, tmp_path):
+    table([listing(f"k{i}") for i in range(9)]).write.parquet(f"{tmp_path}/listed")
+    table([listing(f" s{i} ", summary=str(i)) for i in range(9)]).write.parquet(f"{tmp_path}/source_table")
+    keys = table([{"w": "k1"}, {"w": " k1"}, {"w": "s2"}, {"w": None}, {"w": " "}, {"w": "none"}])
+    got = rows_or_supplement(spark.read.parquet(f"{tmp_path}/listed"), keys, spark.read.parquet(f"{tmp_path}/source_table"))
+    whole, moves = static_plan(spark, got), {"listed": 0, "source_table": 0}
+    for node in nodes(whole):
+        for name in moves if node.nodeName() == "Exchange" else ():
+            below = [*nodes(node)]
+            if any(n.nodeName().startswith("Scan parquet") and name in n.relation().location().rootPaths().toString() for n in below):
+                moves[name] += 1
+                assert any(n.nodeName() == "BroadcastHashJoin" and "__word" in n.simpleString(10000) for n in below)
+    assert all(moves.values()) and moves["source_table"] == 2
+    assert sorted((r["bundle_id"], r["summary"]) for r in got.collect()) == [("k1", "An app for all"), ("s2", "2")]
